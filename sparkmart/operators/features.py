@@ -70,6 +70,34 @@ def label_high_value(df: DataFrame, threshold: float | None, col: str = "total_s
     return df.withColumn("is_high_value", F.when(cond, 1).otherwise(0).cast(T.IntegerType()))
 
 
+def customer_features_unlabeled(
+    customers: DataFrame,
+    order_lines: DataFrame,
+    products: DataFrame,
+    *,
+    customer_cols: tuple[str, ...] | None = ("customer_id", "customer_name", "city", "age"),
+    unknown_products: str = "keep",
+    round_average: bool = True,
+    fill: str = "features",
+) -> DataFrame:
+    """Feature table before the label (lazy; see :func:`customer_features`)."""
+    lines = line_values(order_lines, products, unknown_products)
+    agg = spend_aggregate(lines)
+    if round_average:
+        agg = agg.withColumn("avg_spend_per_order", round_half_up(F.col("avg_spend_per_order")))
+    base = customers if customer_cols is None else customers.select(*customer_cols)
+    feats = base.join(agg, on="customer_id", how="left")
+    if fill == "all_numeric":
+        return feats.fillna(0)
+    return feats.fillna({"total_orders": 0, "total_spend": 0.0, "avg_spend_per_order": 0.0})
+
+
+def spend_median(feats: DataFrame, median: str = "exact") -> float | None:
+    if median == "exact":
+        return quantile_disc(feats, "total_spend", 0.5)
+    return approx_quantile(feats, "total_spend", 0.5, 0.01)
+
+
 def customer_features(
     customers: DataFrame,
     order_lines: DataFrame,
@@ -91,28 +119,16 @@ def customer_features(
                      "all_numeric": ``fillna(0)`` on every numeric column (F2, P7)
     median           "exact" (k-th value, distributed) or "approx" (sketch, 1 %)
     """
-    lines = line_values(order_lines, products, unknown_products)
-    agg = spend_aggregate(lines)
-    if round_average:
-        agg = agg.withColumn("avg_spend_per_order", round_half_up(F.col("avg_spend_per_order")))
-    base = customers if customer_cols is None else customers.select(*customer_cols)
-    feats = base.join(agg, on="customer_id", how="left")
-    if fill == "all_numeric":
-        feats = feats.fillna(0)
-    else:
-        feats = feats.fillna(
-            {"total_orders": 0, "total_spend": 0.0, "avg_spend_per_order": 0.0}
-        )
+    feats = customer_features_unlabeled(
+        customers, order_lines, products, customer_cols=customer_cols,
+        unknown_products=unknown_products, round_average=round_average, fill=fill,
+    )
     if persist:
-        # The median pass and the caller's action share one evaluation of
+        # The median passes and the caller's action share one evaluation of
         # the joins; MEMORY_AND_DISK keeps lineage, so a lost executor's
         # blocks are recomputed rather than failing the job.
         feats = feats.persist(StorageLevel.MEMORY_AND_DISK)
-    if median == "exact":
-        threshold = quantile_disc(feats, "total_spend", 0.5)
-    else:
-        threshold = approx_quantile(feats, "total_spend", 0.5, 0.01)
-    return label_high_value(feats, threshold)
+    return label_high_value(feats, spend_median(feats, median))
 
 
 def baskets(

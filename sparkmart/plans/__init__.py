@@ -31,4 +31,5 @@ def load_all() -> None:
     """Import the modules that register queries."""
     from sparkmart.plans import (  # noqa: F401
         q_features,
+        q_profile,
     )

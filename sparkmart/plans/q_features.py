@@ -129,7 +129,7 @@ def high_value_label_counts(spark, sf_dir):
 
 def _pre_label(spark, sf_dir):
     c, ol, p = adapter.domain(spark, sf_dir)
-    return feat.customer_features(c, ol, p).drop("is_high_value")
+    return feat.customer_features_unlabeled(c, ol, p).persist()
 
 
 @query(
