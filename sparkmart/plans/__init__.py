@@ -32,4 +32,5 @@ def load_all() -> None:
     from sparkmart.plans import (  # noqa: F401
         q_features,
         q_profile,
+        q_quality,
     )
