@@ -33,4 +33,5 @@ def load_all() -> None:
         q_features,
         q_profile,
         q_quality,
+        q_baskets,
     )
