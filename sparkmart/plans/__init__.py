@@ -34,4 +34,5 @@ def load_all() -> None:
         q_profile,
         q_quality,
         q_baskets,
+        q_models,
     )
