@@ -35,4 +35,5 @@ def load_all() -> None:
         q_quality,
         q_baskets,
         q_models,
+        q_pipeline,
     )
