@@ -36,4 +36,5 @@ def load_all() -> None:
         q_baskets,
         q_models,
         q_pipeline,
+        q_streaming,
     )
