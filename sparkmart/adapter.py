@@ -53,20 +53,42 @@ def products(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_linenumber", "l_partkey", "l_quantity"
-    )
-    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
-    return li.join(o, li.l_orderkey == o.o_orderkey, "inner").select(
+def line_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines without the customer (lineitem alone)."""
+    return table(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").alias("order_id"),
         F.col("l_linenumber").alias("line_number"),
-        F.col("o_custkey").alias("customer_id"),
         F.col("l_partkey").alias("product_id"),
         F.col("l_quantity").alias("quantity"),
+    )
+
+
+def order_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order header: order → customer and date."""
+    return table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("order_id"),
+        F.col("o_custkey").alias("customer_id"),
         F.col("o_orderdate").alias("order_date"),
     )
 
 
+def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per order line with its customer (line items ⋈ order header)."""
+    return line_items(spark, sf_dir).join(order_customers(spark, sf_dir), "order_id", "inner").select(
+        "order_id", "line_number", "customer_id", "product_id", "quantity", "order_date"
+    )
+
+
 def domain(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     return customers(spark, sf_dir), order_lines(spark, sf_dir), products(spark, sf_dir)
+
+
+def feature_inputs(spark: SparkSession, sf_dir: str):
+    """(customers, line items, products, order header) for the per-order
+    pre-aggregated feature plan."""
+    return (
+        customers(spark, sf_dir),
+        line_items(spark, sf_dir),
+        products(spark, sf_dir),
+        order_customers(spark, sf_dir),
+    )

@@ -25,8 +25,12 @@ def _catalogue(spark, sf_dir):
     return adapter.products(spark, sf_dir).where(F.col("category") != CATALOGUE_EXCLUDED_TYPE)
 
 
-def _year_lines(spark, sf_dir):
-    return adapter.order_lines(spark, sf_dir).where(F.year("order_date") == ORDER_YEAR)
+def _year_orders(spark, sf_dir):
+    # a range on the raw column is pushed into the Parquet scan; year() is not
+    lo = F.lit(f"{ORDER_YEAR}-01-01 00:00:00").cast("timestamp_ntz")
+    hi = F.lit(f"{ORDER_YEAR + 1}-01-01 00:00:00").cast("timestamp_ntz")
+    o = adapter.order_customers(spark, sf_dir)
+    return o.where((F.col("order_date") >= lo) & (F.col("order_date") < hi))
 
 
 def _customers_nullable_age(spark, sf_dir):
@@ -40,8 +44,8 @@ YEAR_LINES_SQL = f"year_lines AS (SELECT * FROM order_lines WHERE year(order_dat
 
 @query("customer_features", with_domain(features_sql()) + "SELECT * FROM labeled")
 def customer_features(spark, sf_dir):
-    c, ol, p = adapter.domain(spark, sf_dir)
-    return feat.customer_features(c, ol, p)
+    c, li, p, o = adapter.feature_inputs(spark, sf_dir)
+    return feat.customer_features(c, li, p, orders=o)
 
 
 @query(
@@ -56,10 +60,10 @@ def customer_features(spark, sf_dir):
     + "SELECT * FROM labeled",
 )
 def customer_features_large(spark, sf_dir):
-    c, ol, p = adapter.domain(spark, sf_dir)
+    c, li, p, o = adapter.feature_inputs(spark, sf_dir)
     return feat.customer_features(
-        c, ol, p, customer_cols=None, unknown_products="drop", round_average=False,
-        fill="all_numeric",
+        c, li, p, customer_cols=None, unknown_products="drop", round_average=False,
+        fill="all_numeric", orders=o,
     )
 
 
@@ -68,8 +72,8 @@ def customer_features_large(spark, sf_dir):
     with_domain(CATALOGUE_SQL, features_sql(products_cte="catalogue")) + "SELECT * FROM labeled",
 )
 def features_unknown_keep(spark, sf_dir):
-    c, ol, _ = adapter.domain(spark, sf_dir)
-    return feat.customer_features(c, ol, _catalogue(spark, sf_dir), unknown_products="keep")
+    c, li, _, o = adapter.feature_inputs(spark, sf_dir)
+    return feat.customer_features(c, li, _catalogue(spark, sf_dir), unknown_products="keep", orders=o)
 
 
 @query(
@@ -78,8 +82,8 @@ def features_unknown_keep(spark, sf_dir):
     + "SELECT * FROM labeled",
 )
 def features_unknown_drop(spark, sf_dir):
-    c, ol, _ = adapter.domain(spark, sf_dir)
-    return feat.customer_features(c, ol, _catalogue(spark, sf_dir), unknown_products="drop")
+    c, li, _, o = adapter.feature_inputs(spark, sf_dir)
+    return feat.customer_features(c, li, _catalogue(spark, sf_dir), unknown_products="drop", orders=o)
 
 
 @query(
@@ -87,8 +91,8 @@ def features_unknown_drop(spark, sf_dir):
     with_domain(YEAR_LINES_SQL, features_sql(lines_cte="year_lines")) + "SELECT * FROM labeled",
 )
 def customers_without_orders_filled(spark, sf_dir):
-    c, _, p = adapter.domain(spark, sf_dir)
-    return feat.customer_features(c, _year_lines(spark, sf_dir), p)
+    c, li, p, _ = adapter.feature_inputs(spark, sf_dir)
+    return feat.customer_features(c, li, p, orders=_year_orders(spark, sf_dir))
 
 
 _NULL_AGE_CUSTOMERS = (
@@ -109,8 +113,8 @@ _NULL_AGE_CUSTOMERS = (
 )
 def fill_all_numeric(spark, sf_dir):
     c = _customers_nullable_age(spark, sf_dir).select("customer_id", "customer_name", "city", "age")
-    p = adapter.products(spark, sf_dir)
-    return feat.customer_features(c, _year_lines(spark, sf_dir), p, fill="all_numeric")
+    li, p = adapter.line_items(spark, sf_dir), adapter.products(spark, sf_dir)
+    return feat.customer_features(c, li, p, fill="all_numeric", orders=_year_orders(spark, sf_dir))
 
 
 @query(
@@ -128,8 +132,8 @@ def high_value_label_counts(spark, sf_dir):
 
 
 def _pre_label(spark, sf_dir):
-    c, ol, p = adapter.domain(spark, sf_dir)
-    return feat.customer_features_unlabeled(c, ol, p).persist()
+    c, li, p, o = adapter.feature_inputs(spark, sf_dir)
+    return feat.customer_features_unlabeled(c, li, p, orders=o).persist()
 
 
 @query(

@@ -27,8 +27,8 @@ RULE_AGE = 40
 
 
 def _features(spark, sf_dir):
-    c, ol, p = adapter.domain(spark, sf_dir)
-    return feat.customer_features(c, ol, p)
+    c, li, p, o = adapter.feature_inputs(spark, sf_dir)
+    return feat.customer_features(c, li, p, orders=o)
 
 
 # ------------------------------------------------------------ preparation
@@ -47,8 +47,8 @@ def _z_sql() -> str:
 
 @query("standardized_features", _z_sql())
 def standardized_features(spark, sf_dir):
-    c, ol, p = adapter.domain(spark, sf_dir)
-    f = feat.customer_features_unlabeled(c, ol, p)
+    c, li, p, o = adapter.feature_inputs(spark, sf_dir)
+    f = feat.customer_features_unlabeled(c, li, p, orders=o)
     return standardized(f, KMEANS_FEATURES, "customer_id", digits=Z_DIGITS)
 
 

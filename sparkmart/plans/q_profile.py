@@ -101,8 +101,8 @@ FEATURE_DESCRIBE = ["age", "total_orders", "total_spend"]
     with_domain(features_sql()) + _describe_sql("feats", FEATURE_DESCRIBE),
 )
 def describe_features(spark, sf_dir):
-    c, ol, p = adapter.domain(spark, sf_dir)
-    f = feat.customer_features_unlabeled(c, ol, p)
+    c, li, p, o = adapter.feature_inputs(spark, sf_dir)
+    f = feat.customer_features_unlabeled(c, li, p, orders=o)
     return _describe(f, FEATURE_DESCRIBE)
 
 
@@ -129,8 +129,8 @@ FROM range({HIST_BINS}) r CROSS JOIN b LEFT JOIN c ON c.bin = r.range"""
 
 
 def _hist(spark, sf_dir, col):
-    c, ol, p = adapter.domain(spark, sf_dir)
-    f = feat.customer_features_unlabeled(c, ol, p).persist()
+    c, li, p, o = adapter.feature_inputs(spark, sf_dir)
+    f = feat.customer_features_unlabeled(c, li, p, orders=o).persist()
     return profile.histogram(f, col, HIST_BINS).withColumnRenamed("count", "n_rows")
 
 
@@ -238,8 +238,8 @@ def city_partition_pruned(spark, sf_dir):
 
 @query("csv_roundtrip_features", with_domain(features_sql()) + "SELECT * FROM labeled")
 def csv_roundtrip_features(spark, sf_dir):
-    c, ol, p = adapter.domain(spark, sf_dir)
-    f = feat.customer_features(c, ol, p)
+    c, li, p, o = adapter.feature_inputs(spark, sf_dir)
+    f = feat.customer_features(c, li, p, orders=o)
     path = scratch_path(spark, "customer_features_csv")
     sinks.write_csv(f, path)
     return sources.read_csv(spark, path, schema=f.schema)
@@ -248,5 +248,5 @@ def csv_roundtrip_features(spark, sf_dir):
 @query("preview_features")
 def preview_features(spark, sf_dir):
     """The first rows of the feature table (a preview is the feature)."""
-    c, ol, p = adapter.domain(spark, sf_dir)
-    return feat.customer_features(c, ol, p).orderBy("customer_id").limit(10)
+    c, li, p, o = adapter.feature_inputs(spark, sf_dir)
+    return feat.customer_features(c, li, p, orders=o).orderBy("customer_id").limit(10)

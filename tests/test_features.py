@@ -58,3 +58,19 @@ def test_baskets_are_distinct_sorted_and_keep_commas(spark):
     assert b[1] == ["Laptop", "Mouse"]
     assert b[6] == ["Kopi, Arabika", "Mouse", "Teh"]
     assert b[2] == ["Kopi, Arabika"]  # the unknown product adds nothing
+
+
+def test_per_order_plan_equals_line_plan(spark):
+    from pyspark.sql import functions as F
+
+    c, o, p = frames(spark)
+    # the same orders split into line items and an order header (two lines per order id)
+    lines = o.select(F.col("order_id"), "product_id", "quantity").unionByName(
+        o.select(F.col("order_id"), F.lit(13).cast("long").alias("product_id"), F.lit(1.0).alias("quantity"))
+    )
+    header = o.select("order_id", "customer_id")
+    joined = lines.join(header, "order_id")
+    for unknown in ("keep", "drop"):
+        a = customer_features(c, joined, p, unknown_products=unknown).collect()
+        b = customer_features(c, lines, p, unknown_products=unknown, orders=header).collect()
+        assert sorted(map(tuple, a)) == sorted(map(tuple, b))

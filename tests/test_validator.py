@@ -106,3 +106,9 @@ def test_message_order_and_texts(spark):
         "[ERROR] src: rasio null 50.0% melewati batas 30.0% — data ditolak.",
     ]
     assert not rep.is_valid
+
+
+def test_signed_zero_and_nan_rows_are_duplicates(spark):
+    rows = [(0.0, "x"), (-0.0, "x"), (float("nan"), "y"), (float("nan"), "y"), (1.0, "z")]
+    s = quality_summary(df(spark, rows, "a double, b string")).first()
+    assert s["n_rows"] == 5 and s["duplicate_rows"] == 2
