@@ -250,3 +250,21 @@ def preview_features(spark, sf_dir):
     """The first rows of the feature table (a preview is the feature)."""
     c, li, p, o = adapter.feature_inputs(spark, sf_dir)
     return feat.customer_features(c, li, p, orders=o).orderBy("customer_id").limit(10)
+
+
+@query(
+    "city_pruning_report",
+    SPEND_WITH_CITY_SQL
+    + f"""SELECT 'partitioned' AS layout, count(*) AS rows, count(*) AS rows_scanned
+FROM swc WHERE city = '{FILTER_CITY}'
+UNION ALL
+SELECT 'unpartitioned', count(*) FILTER (WHERE city = '{FILTER_CITY}'), count(*) FROM swc""",
+)
+def city_pruning_report(spark, sf_dir):
+    """Same filter on a city-partitioned and a flat copy of the table."""
+    from sparkmart.reports import pruning_report
+
+    df = _spend_with_city(spark, sf_dir)
+    part = sinks.write_partitioned_parquet(df, scratch_path(spark, "customers_by_city"), ["city"])
+    flat = sinks.write_parquet(df, scratch_path(spark, "customers_flat"))
+    return pruning_report(spark, part, flat, "city", FILTER_CITY).drop("files_read")

@@ -74,3 +74,11 @@ def test_per_order_plan_equals_line_plan(spark):
         a = customer_features(c, joined, p, unknown_products=unknown).collect()
         b = customer_features(c, lines, p, unknown_products=unknown, orders=header).collect()
         assert sorted(map(tuple, a)) == sorted(map(tuple, b))
+
+
+def test_schema_rows(spark):
+    from sparkmart.operators.profile import schema_rows
+
+    c, _, _ = frames(spark)
+    rows = [tuple(r) for r in schema_rows(c).collect()]
+    assert rows[0] == (0, "customer_id", "bigint", True) and rows[3][1:3] == ("age", "int")

@@ -104,3 +104,14 @@ def test_standardized_zero_mean_unit_std(spark):
     z = standardized(df, ["age", "total_spend"], "customer_id").toPandas()
     assert (z["z_age"] == 0).all()
     assert abs(z["z_total_spend"].mean()) < 1e-9 and abs(z["z_total_spend"].std() - 1) < 1e-9
+
+
+def test_assembler_rejects_null_by_default(spark):
+    from pyspark.ml.feature import VectorAssembler  # noqa: F401
+
+    from sparkmart.mining.prep import assembler
+
+    df = spark.createDataFrame([(1.0, None)], "a double, b double")
+    with pytest.raises(Exception):
+        assembler(["a", "b"]).transform(df).collect()
+    assert assembler(["a", "b"], handle_invalid="skip").transform(df).count() == 0

@@ -54,3 +54,17 @@ def test_scaling_report_drops_missing_time(spark):
         (1, 1.0, 1.0), (2, 1.5, 0.75), (4, 3.0, 0.75),
     ]
     assert math.isclose(rows[1]["seconds"], 40.0)
+
+
+def test_pruning_report_reads_fewer_files(spark, tmp_path):
+    from sparkmart.reports import pruning_report
+    from sparkmart.sinks.files import write_parquet, write_partitioned_parquet
+
+    df = spark.range(600).selectExpr("id", "concat('C', cast(id % 6 as string)) AS city").repartition(4)
+    part = write_partitioned_parquet(df, str(tmp_path / "by_city"), ["city"])
+    flat = write_parquet(df, str(tmp_path / "flat"))
+    rows = {r["layout"]: r for r in pruning_report(spark, part, flat, "city", "C1").collect()}
+    assert rows["partitioned"]["rows"] == rows["unpartitioned"]["rows"] == 100
+    assert rows["partitioned"]["rows_scanned"] == 100
+    assert rows["unpartitioned"]["rows_scanned"] == 600
+    assert rows["partitioned"]["files_read"] <= rows["unpartitioned"]["files_read"]
