@@ -17,7 +17,12 @@ from sparkmart.plans.oracle import with_domain
 from sparkmart.session import scratch_path
 from sparkmart.sinks.files import write_csv, write_dated_csv
 from sparkmart.sources.config import SourceSpec
-from sparkmart.sources.files import read_audit_log, read_latest_snapshot, read_snapshots
+from sparkmart.sources.files import (
+    latest_per_key,
+    read_audit_log,
+    read_latest_snapshot,
+    read_snapshots,
+)
 
 LINEITEM_COLS = (
     "l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, "
@@ -181,6 +186,20 @@ def snapshot_latest(spark, sf_dir):
     return df.withColumn("snapshot_date", F.date_format("snapshot_date", "yyyy-MM-dd"))
 
 
+@query(
+    "snapshot_latest_per_key",
+    f"""WITH a AS ({_SNAP_FIRST} UNION ALL {_SNAP_SECOND})
+SELECT n_nationkey, arg_max(n_name, snapshot_date) AS n_name,
+       arg_max(n_regionkey, snapshot_date) AS n_regionkey, max(snapshot_date) AS snapshot_date
+FROM a GROUP BY n_nationkey""",
+)
+def snapshot_latest_per_key(spark, sf_dir):
+    base = _land_nation_snapshots(spark, sf_dir)
+    df = read_snapshots(spark, base, "nation.csv", schema=NATION_SCHEMA)
+    latest = latest_per_key(df, ["n_nationkey"], "snapshot_date")
+    return latest.withColumn("snapshot_date", F.date_format("snapshot_date", "yyyy-MM-dd"))
+
+
 # -------------------------------------------------------------- ingestion
 @query(
     "ingest_audit",

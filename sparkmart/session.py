@@ -24,6 +24,9 @@ DEFAULT_CONF: dict[str, str] = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # MLlib's iterative algorithms (K-Means, trees, FP-Growth) shuffle and
+    # cache JVM objects through RDDs; Kryo is faster and more compact there.
+    "spark.serializer": "org.apache.spark.serializer.KryoSerializer",
 }
 
 

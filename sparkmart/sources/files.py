@@ -116,6 +116,21 @@ def read_latest_snapshot(
     return read_snapshots(spark, base, filename, schema=schema, dates=[dates[-1]])
 
 
+def latest_per_key(df: DataFrame, keys: list[str], order_col: str = "snapshot_date") -> DataFrame:
+    """The newest row of every key across all snapshots (history-aware S5).
+
+    ``max_by`` over a struct of the row is an ordinary aggregate: each task
+    keeps one candidate per key before the shuffle, so a key present in
+    every snapshot — or holding a third of all rows — costs one row per task,
+    unlike a window that sorts all of a key's rows in one task.
+    """
+    others = [c for c in df.columns if c not in keys]
+    latest = df.groupBy(*keys).agg(
+        F.max_by(F.struct(*[F.col(c) for c in others]), F.col(order_col)).alias("__row")
+    )
+    return latest.select(*keys, *[F.col(f"__row.{c}").alias(c) for c in others])
+
+
 AUDIT_SCHEMA = T.StructType(
     [
         T.StructField("timestamp", T.StringType()),
