@@ -19,12 +19,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sparkmart.functions import round_half_up
 from sparkmart.mining.prep import assembler, hash_split, indexer, scaler
 from sparkmart.sinks.files import drop_vectors
 
 
 def stable_input(df: DataFrame, key: str, num_partitions: int | None = None) -> DataFrame:
-    n = num_partitions or df.sparkSession.sparkContext.defaultParallelism
+    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return (
         df.repartition(n, key).sortWithinPartitions(key).persist(StorageLevel.MEMORY_AND_DISK)
     )
@@ -65,17 +66,22 @@ def cluster_centers(spark: SparkSession, model: PipelineModel, feature_cols: lis
     )
 
 
-def cluster_profile(clustered: DataFrame) -> DataFrame:
-    """Size and mean age / orders / spend per cluster."""
+def cluster_profile(clustered: DataFrame, key: str = "cluster", exact_round: bool = False) -> DataFrame:
+    """Size and mean age / orders / spend per cluster (or any key).
+
+    ``exact_round`` uses the half-up form that gives the same double in every
+    engine instead of ``round`` (which rounds the decimal text of a double).
+    """
+    rnd = round_half_up if exact_round else F.round
     return (
-        clustered.groupBy("cluster")
+        clustered.groupBy(key)
         .agg(
             F.count("customer_id").alias("n_customers"),
-            F.round(F.avg("age"), 1).alias("mean_age"),
-            F.round(F.avg("total_orders"), 1).alias("mean_orders"),
-            F.round(F.avg("total_spend"), 0).alias("mean_spend"),
+            rnd(F.avg("age"), 1).alias("mean_age"),
+            rnd(F.avg("total_orders"), 1).alias("mean_orders"),
+            rnd(F.avg("total_spend"), 0).alias("mean_spend"),
         )
-        .orderBy("cluster")
+        .orderBy(key)
     )
 
 

@@ -103,6 +103,19 @@ def kmeans_centers(spark, sf_dir):
     return M.cluster_centers(spark, model, KMEANS_FEATURES)
 
 
+@query(
+    "profile_by_label",
+    with_domain(features_sql())
+    + f"""SELECT is_high_value, count(customer_id) AS n_customers,
+       {r2('avg(age)', 1)} AS mean_age, {r2('avg(total_orders)', 1)} AS mean_orders,
+       {r2('avg(total_spend)', 0)} AS mean_spend
+FROM labeled GROUP BY is_high_value""",
+)
+def profile_by_label(spark, sf_dir):
+    """A11's arithmetic on a fixed grouping (the label), checkable by SQL."""
+    return M.cluster_profile(_features(spark, sf_dir), key="is_high_value", exact_round=True)
+
+
 # ---------------------------------------------------------- decision tree
 def _tree(spark, sf_dir):
     return M.run_decision_tree(

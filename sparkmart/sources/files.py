@@ -92,17 +92,25 @@ def read_snapshots(
     )
 
 
-def snapshot_dates(spark: SparkSession, base: str) -> list[str]:
-    """Date folder names under ``base`` (a directory listing, no data read)."""
-    import re
+def snapshot_dates(spark: SparkSession, base: str, filename: str) -> list[str]:
+    """Dates of the snapshot folders under ``base`` holding ``filename``.
 
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(base)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(hpath):
-        return []
-    names = [st.getPath().getName() for st in fs.listStatus(hpath) if st.isDirectory()]
-    return sorted(n for n in names if re.fullmatch(r"\d{4}-\d{2}-\d{2}", n))
+    A ``binaryFile`` read selecting only the path lists files without opening
+    them; the result is one row per date folder.
+    """
+    files = (
+        spark.read.format("binaryFile")
+        .load(f"{base}/*/{filename}")
+        .select(F.regexp_extract("path", SNAPSHOT_DATE_PATTERN, 1).alias("d"))
+        .where(F.col("d") != "")
+        .distinct()
+    )
+    try:
+        return sorted(r["d"] for r in files.collect())
+    except Exception as e:  # noqa: BLE001 - no matching folder at all
+        if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
+            return []
+        raise
 
 
 def read_latest_snapshot(
@@ -110,7 +118,7 @@ def read_latest_snapshot(
 ) -> DataFrame:
     """Only the newest date folder.  The folder is chosen from a listing,
     so older snapshots are never opened (file-level pruning)."""
-    dates = snapshot_dates(spark, base)
+    dates = snapshot_dates(spark, base, filename)
     if not dates:
         raise FileNotFoundError(f"no dated snapshot folders under {base}")
     return read_snapshots(spark, base, filename, schema=schema, dates=[dates[-1]])
