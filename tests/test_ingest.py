@@ -37,3 +37,8 @@ def test_three_statuses_and_landing(spark):
     assert {r["ingestion_time"] for r in landed.collect()} == {clock.isoformat()}
     log = read_audit_log(spark, f"{d}/lake/logs/log")
     assert log.count() == 3
+    again = run_all(spark, specs, f"{d}/lake2", f"{d}/lake2/logs/log", run_clock=clock,
+                    max_parallel_sources=3)
+    assert [(r.dataset_name, r.status, r.rows) for r in again] == [
+        (r.dataset_name, r.status, r.rows) for r in rows
+    ]
