@@ -82,13 +82,21 @@ def object_store_conf(
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, setting a local one only if unset."""
+    """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
+
+    Only a ``local[...]`` session without that setting gets a fresh temp
+    folder (tests, laptops); on a cluster a machine-local folder would be
+    invisible to other executors, so an unset setting is an error there.
+    """
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        # Local runs only: a cluster names its shared folder in the conf.
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError(
+                "set spark.checkpoint.dir to a shared folder (e.g. an object-store or HDFS path)"
+            )
         configured = tempfile.mkdtemp(prefix="sparkmart-ckpt-")
         spark.conf.set("spark.checkpoint.dir", configured)
     spark.sparkContext.setCheckpointDir(configured)

@@ -76,6 +76,8 @@ def test_decision_tree_depth_auc_and_metrics(spark):
     m = M.classification_metrics(preds, "is_high_value")
     assert 0.9 < m["accuracy"] <= 1.0
     assert set(M.MULTICLASS_METRICS) == set(m)
+    ref = M.classification_metrics_mllib(preds, "is_high_value")
+    assert all(math.isclose(m[k], ref[k], rel_tol=1e-12) for k in ref)
     _, auc_free = M.run_decision_tree(df, ["age", "total_orders", "total_spend"], ["city"], leak_free=True)
     assert auc_free is not None and auc_free < 0.8
 
@@ -86,6 +88,13 @@ def test_one_class_test_part_gives_null_auc(spark):
     assert auc is None
 
 
+def test_metrics_match_evaluator_with_missing_cells(spark):
+    rows = [(0, 0.0)] * 5 + [(0, 2.0)] * 2 + [(1, 1.0)] * 3 + [(2, 0.0)] * 4
+    df = spark.createDataFrame(rows, "y int, prediction double")
+    a, b = M.classification_metrics(df, "y"), M.classification_metrics_mllib(df, "y")
+    assert all(math.isclose(a[k], b[k], rel_tol=1e-12, abs_tol=1e-15) for k in b)
+
+
 def test_confusion_matrix_fills_missing_cells(spark):
     df = spark.createDataFrame([(1, 1.0), (1, 1.0), (0, 1.0)], "y int, prediction double")
     rows = {r["y"]: (r["pred_0"], r["pred_1"]) for r in M.confusion_matrix(df, "y").collect()}
