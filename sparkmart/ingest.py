@@ -115,3 +115,52 @@ def run_all(
         rows = [one(s) for s in ordered]
     append_audit(spark, rows, audit_path)
     return rows
+
+
+def main(argv: list[str] | None = None) -> int:
+    """Command line: ``python -m sparkmart.ingest --sources sources.yaml ...``.
+
+    The raw zone is ``--raw-base`` (any Hadoop URI) or the bucket named in
+    ``--storage``; object-store credentials come from the cluster's Hadoop
+    configuration (``spark.hadoop.fs.s3a.*``), not from this tool.
+    """
+    import argparse
+
+    from sparkmart.session import build_session
+    from sparkmart.sources.config import load_sources, load_storage
+
+    ap = argparse.ArgumentParser(description="ingest declared sources into the raw zone")
+    ap.add_argument("--sources", required=True)
+    ap.add_argument("--storage", help="storage settings file (bucket, endpoint, secure)")
+    ap.add_argument("--raw-base", help="raw-zone base URI; overrides --storage")
+    ap.add_argument("--audit", help="audit log folder (default: <raw-base>/logs/ingestion_log)")
+    ap.add_argument("--db-password", default=None)
+    ap.add_argument("--master", default=None)
+    ap.add_argument("--parallel", type=int, default=1)
+    a = ap.parse_args(argv)
+    extra = {}
+    raw_base = a.raw_base
+    if raw_base is None:
+        if not a.storage:
+            ap.error("give --raw-base or --storage")
+        st = load_storage(a.storage)
+        raw_base = st.base_uri
+        if st.endpoint:
+            scheme = "https" if st.secure else "http"
+            ep = st.endpoint if "://" in st.endpoint else f"{scheme}://{st.endpoint}"
+            extra = {"spark.hadoop.fs.s3a.endpoint": ep, "spark.hadoop.fs.s3a.path.style.access": "true"}
+    spark = build_session(a.master, app_name="sparkmart-ingest", extra_conf=extra)
+    specs = load_sources(a.sources)
+
+    def extract(sp: SparkSession, spec: SourceSpec) -> DataFrame:
+        return default_extract(sp, spec, password=a.db_password)
+
+    rows = run_all(spark, specs, raw_base, a.audit or f"{raw_base}/logs/ingestion_log",
+                   extract=extract, max_parallel_sources=a.parallel)
+    for r in rows:
+        print(f"[{r.status}] {r.dataset_name}: {r.rows} rows — {r.notes}")
+    return 0 if all(r.status != STATUS_FAILED for r in rows) else 1
+
+
+if __name__ == "__main__":
+    raise SystemExit(main())

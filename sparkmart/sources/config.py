@@ -62,3 +62,24 @@ def parse_sources(cfg: dict) -> list[SourceSpec]:
 def load_sources(path: str) -> list[SourceSpec]:
     with open(path, encoding="utf-8") as fh:
         return parse_sources(yaml.safe_load(fh) or {})
+
+
+@dataclass
+class StorageSpec:
+    """Where the raw zone lives: ``endpoint`` (S3-compatible), ``bucket``, ``secure``."""
+    bucket: str
+    endpoint: str | None = None
+    secure: bool = False
+
+    @property
+    def base_uri(self) -> str:
+        return f"s3a://{self.bucket}"
+
+
+def load_storage(path: str) -> StorageSpec:
+    """Storage settings file: ``endpoint``, ``bucket``, ``secure`` (keys
+    are passed to the session separately, never stored in the file)."""
+    with open(path, encoding="utf-8") as fh:
+        cfg = yaml.safe_load(fh) or {}
+    return StorageSpec(bucket=cfg["bucket"], endpoint=cfg.get("endpoint"),
+                       secure=bool(cfg.get("secure", False)))

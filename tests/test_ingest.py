@@ -42,3 +42,18 @@ def test_three_statuses_and_landing(spark):
     assert [(r.dataset_name, r.status, r.rows) for r in again] == [
         (r.dataset_name, r.status, r.rows) for r in rows
     ]
+
+
+def test_cli_and_storage_settings(spark, tmp_path):
+    from sparkmart.ingest import main
+    from sparkmart.sources.config import load_storage
+
+    (tmp_path / "storage.yaml").write_text('endpoint: "localhost:9000"\nbucket: "datalake"\nsecure: false\n')
+    st = load_storage(str(tmp_path / "storage.yaml"))
+    assert st.base_uri == "s3a://datalake" and st.endpoint == "localhost:9000" and not st.secure
+    (tmp_path / "c.csv").write_text("Customer ID,Name\n1,Andi\n2,Budi\n")
+    (tmp_path / "sources.yaml").write_text(
+        f"files:\n  - {{name: c, source_type: csv, path: {tmp_path}/c.csv, target: raw/csv/c/c.csv}}\n"
+    )
+    assert main(["--sources", str(tmp_path / "sources.yaml"), "--raw-base", str(tmp_path / "lake")]) == 0
+    assert list((tmp_path / "lake" / "raw" / "csv" / "c").iterdir())
