@@ -21,6 +21,58 @@ from pyspark.sql import functions as F
 from sparkmart.functions import items_text, rule_label
 
 
+def estimate_frequent_itemsets(baskets: DataFrame, items_col: str, min_support: float) -> dict:
+    """Estimate of how many itemsets FP-Growth would emit (a pre-check).
+
+    One aggregate over (item, count) — as many rows as distinct items.  With
+    the frequent items' supports sorted descending (s1 ≥ s2 ≥ …), itemsets
+    larger than the largest k with s1·…·sk ≥ min_support are not expected if
+    items were independent, and at most C(m, j) itemsets of each size j ≤ k
+    exist (m = frequent items).  Correlated items can exceed the estimate;
+    dense baskets (every item in most baskets) make it explode, which is
+    exactly when mining cannot finish.
+    """
+    import math
+
+    n = baskets.count()
+    if n == 0:
+        return {"baskets": 0, "frequent_items": 0, "max_size": 0, "estimate": 0}
+    min_count = math.ceil(min_support * n)
+    counts = (
+        baskets.select(F.explode(items_col).alias("item"))
+        .groupBy("item")
+        .count()
+        .where(F.col("count") >= min_count)
+        .select("count")
+        .collect()
+    )
+    sup = sorted((r["count"] / n for r in counts), reverse=True)
+    k, prod = 0, 1.0
+    for s in sup:
+        if prod * s < min_support:
+            break
+        prod *= s
+        k += 1
+    est = sum(math.comb(len(sup), j) for j in range(1, k + 1))
+    return {"baskets": n, "frequent_items": len(sup), "max_size": k, "estimate": est}
+
+
+def check_density(baskets: DataFrame, items_col: str, min_support: float, limit: int) -> dict:
+    """Raise before mining when the estimate exceeds ``limit``.
+
+    Nothing is dropped or sampled: the caller chooses smaller baskets (per
+    order or per customer-day instead of per customer) or a higher support.
+    """
+    est = estimate_frequent_itemsets(baskets, items_col, min_support)
+    if est["estimate"] > limit:
+        raise ValueError(
+            f"baskets too dense for support {min_support}: about {est['estimate']:,} itemsets "
+            f"(up to size {est['max_size']} over {est['frequent_items']} frequent items); "
+            "use smaller baskets (order or customer-day) or a higher min_support"
+        )
+    return est
+
+
 def fp_growth(
     baskets: DataFrame,
     items_col: str = "items",

@@ -33,6 +33,8 @@ class PipelineConfig:
     basket_key: list[str] = field(default_factory=lambda: ["customer_id"])
     min_support: float = 0.05
     min_confidence: float = 0.3
+    # refuse to mine when the frequent-itemset estimate is beyond this
+    max_estimated_itemsets: int | None = 50_000_000
 
 
 def _timed(timings: list, stage: str, fn):
@@ -93,6 +95,8 @@ def run_pipeline(
 
     def association():
         b = feat.baskets(o, p, cfg.basket_key, cfg.item_col, "drop").persist()
+        if cfg.max_estimated_itemsets is not None:
+            R.check_density(b, "items", cfg.min_support, cfg.max_estimated_itemsets)
         _, rules = R.fp_growth(b, "items", cfg.min_support, cfg.min_confidence)
         write_parquet(R.rules_as_text(rules), paths["association_rules"])
         b.unpersist()
