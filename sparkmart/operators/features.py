@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sparkmart.functions import money_units, round_half_up, units_to_money
+from sparkmart.functions import money_units, units_to_money
 from sparkmart.operators.quantiles import approx_quantile, quantile_disc
 
 FEATURE_COLUMNS = (
@@ -126,7 +126,7 @@ def customer_features_unlabeled(
     else:
         agg = spend_aggregate(line_values(order_lines, products, unknown_products))
     if round_average:
-        agg = agg.withColumn("avg_spend_per_order", round_half_up(F.col("avg_spend_per_order")))
+        agg = agg.withColumn("avg_spend_per_order", F.round(F.col("avg_spend_per_order"), 2))
     base = customers if customer_cols is None else customers.select(*customer_cols)
     feats = base.join(agg, on="customer_id", how="left")
     if fill == "all_numeric":
@@ -157,7 +157,7 @@ def customer_features(
 
     customer_cols    customer columns to keep (``None`` keeps all: F2)
     unknown_products "keep" (J1, F1) or "drop" (J4, F2)
-    round_average    half-up to 2 decimals (F1) or raw (F2)
+    round_average    ``round(avg, 2)`` as in the original (F1) or raw (F2)
     fill             "features": fill the three feature columns (F1, P6);
                      "all_numeric": ``fillna(0)`` on every numeric column (F2, P7)
     median           "exact" (k-th value, distributed) or "approx" (sketch, 1 %)

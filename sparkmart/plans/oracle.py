@@ -26,10 +26,18 @@ UNITS = "CAST(round(ol.quantity * 100) AS BIGINT) * CAST(round(p.price * 100) AS
 
 
 def r2(x: str, digits: int = 2) -> str:
+    """``round_half_up`` of :mod:`sparkmart.functions` (plain double arithmetic)."""
     s = 10 ** digits
     return f"(floor(({x}) * {s} + 0.5) / {s})"
 
 
+def spark_round(x: str, digits: int) -> str:
+    """Spark's ``round`` on a double: the shortest decimal text of the value,
+    rounded half-up.  DuckDB's own ``round`` on doubles rounds the binary
+    value instead, so go through text and DECIMAL."""
+    return f"CAST(round(CAST(CAST(({x}) AS VARCHAR) AS DECIMAL(38, 18)), {digits}) AS DOUBLE)"
+
+
 def features_sql(
     *,
     join: str = "LEFT",
@@ -42,7 +50,7 @@ def features_sql(
     """CTE text ending in ``feats`` (pre-label) and ``labeled``."""
     avg = "a.total_spend / NULLIF(a.priced_lines, 0)"
     if round_avg:
-        avg = r2(avg)
+        avg = spark_round(avg, 2)
     return f"""
 lv AS (
   SELECT ol.customer_id, ol.order_id, {UNITS} AS value_units
