@@ -144,60 +144,71 @@ def standardized_customer(spark, sf_dir):
 
 # -------------------------------------------------------------- snapshots
 SNAPSHOT_DATES = ("2024-01-01", "2024-01-02")
-NATION_SCHEMA = T.StructType(
+SUPPLIER_SCHEMA = T.StructType(
     [
-        T.StructField("n_nationkey", T.IntegerType()),
-        T.StructField("n_name", T.StringType()),
-        T.StructField("n_regionkey", T.IntegerType()),
+        T.StructField("s_suppkey", T.LongType()),
+        T.StructField("s_name", T.StringType()),
+        T.StructField("s_nationkey", T.IntegerType()),
+        T.StructField("s_acctbal", T.DoubleType()),
     ]
 )
+# the later snapshot renames the suppliers of nation 0 (one changed value each)
+CHANGED_NATION = 0
 
 
-def _land_nation_snapshots(spark, sf_dir) -> str:
-    """Two dated snapshots of nation; the later one renames nation 0."""
-    base = scratch_path(spark, "raw-nation")
-    n = adapter.table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
-    changed = n.withColumn(
-        "n_name", F.when(F.col("n_nationkey") == 0, F.lower("n_name")).otherwise(F.col("n_name"))
+def _land_supplier_snapshots(spark, sf_dir) -> str:
+    """Two dated snapshots of the whole supplier table."""
+    base = scratch_path(spark, "raw-supplier")
+    s = adapter.table(spark, sf_dir, "supplier").select(
+        "s_suppkey", "s_name", "s_nationkey", "s_acctbal"
     )
-    write_dated_csv(n, base, "nation.csv", SNAPSHOT_DATES[0])
-    write_dated_csv(changed, base, "nation.csv", SNAPSHOT_DATES[1])
+    changed = s.withColumn(
+        "s_name",
+        F.when(F.col("s_nationkey") == CHANGED_NATION, F.lower("s_name")).otherwise(F.col("s_name")),
+    )
+    write_dated_csv(s, base, "supplier.csv", SNAPSHOT_DATES[0])
+    write_dated_csv(changed, base, "supplier.csv", SNAPSHOT_DATES[1])
     return base
 
 
-_SNAP_FIRST = f"SELECT n_nationkey, n_name, n_regionkey, '{SNAPSHOT_DATES[0]}' AS snapshot_date FROM nation"
+_SNAP_FIRST = (
+    "SELECT s_suppkey, s_name, s_nationkey, s_acctbal,"
+    f" '{SNAPSHOT_DATES[0]}' AS snapshot_date FROM supplier"
+)
 _SNAP_SECOND = (
-    "SELECT n_nationkey, CASE WHEN n_nationkey = 0 THEN lower(n_name) ELSE n_name END AS n_name,"
-    f" n_regionkey, '{SNAPSHOT_DATES[1]}' AS snapshot_date FROM nation"
+    f"SELECT s_suppkey, CASE WHEN s_nationkey = {CHANGED_NATION} THEN lower(s_name) ELSE s_name END"
+    f" AS s_name, s_nationkey, s_acctbal, '{SNAPSHOT_DATES[1]}' AS snapshot_date FROM supplier"
 )
 
 
+def _with_text_date(df):
+    return df.withColumn("snapshot_date", F.date_format("snapshot_date", "yyyy-MM-dd"))
+
+
 @query("snapshot_all", f"{_SNAP_FIRST} UNION ALL {_SNAP_SECOND}")
 def snapshot_all(spark, sf_dir):
-    base = _land_nation_snapshots(spark, sf_dir)
-    df = read_snapshots(spark, base, "nation.csv", schema=NATION_SCHEMA)
-    return df.withColumn("snapshot_date", F.date_format("snapshot_date", "yyyy-MM-dd"))
+    base = _land_supplier_snapshots(spark, sf_dir)
+    return _with_text_date(read_snapshots(spark, base, "supplier.csv", schema=SUPPLIER_SCHEMA))
 
 
 @query("snapshot_latest", _SNAP_SECOND)
 def snapshot_latest(spark, sf_dir):
-    base = _land_nation_snapshots(spark, sf_dir)
-    df = read_latest_snapshot(spark, base, "nation.csv", schema=NATION_SCHEMA)
-    return df.withColumn("snapshot_date", F.date_format("snapshot_date", "yyyy-MM-dd"))
+    base = _land_supplier_snapshots(spark, sf_dir)
+    return _with_text_date(read_latest_snapshot(spark, base, "supplier.csv", schema=SUPPLIER_SCHEMA))
 
 
 @query(
     "snapshot_latest_per_key",
     f"""WITH a AS ({_SNAP_FIRST} UNION ALL {_SNAP_SECOND})
-SELECT n_nationkey, arg_max(n_name, snapshot_date) AS n_name,
-       arg_max(n_regionkey, snapshot_date) AS n_regionkey, max(snapshot_date) AS snapshot_date
-FROM a GROUP BY n_nationkey""",
+SELECT s_suppkey, arg_max(s_name, snapshot_date) AS s_name,
+       arg_max(s_nationkey, snapshot_date) AS s_nationkey,
+       arg_max(s_acctbal, snapshot_date) AS s_acctbal, max(snapshot_date) AS snapshot_date
+FROM a GROUP BY s_suppkey""",
 )
 def snapshot_latest_per_key(spark, sf_dir):
-    base = _land_nation_snapshots(spark, sf_dir)
-    df = read_snapshots(spark, base, "nation.csv", schema=NATION_SCHEMA)
-    latest = latest_per_key(df, ["n_nationkey"], "snapshot_date")
-    return latest.withColumn("snapshot_date", F.date_format("snapshot_date", "yyyy-MM-dd"))
+    base = _land_supplier_snapshots(spark, sf_dir)
+    df = read_snapshots(spark, base, "supplier.csv", schema=SUPPLIER_SCHEMA)
+    return _with_text_date(latest_per_key(df, ["s_suppkey"], "snapshot_date"))
 
 
 # -------------------------------------------------------------- ingestion
