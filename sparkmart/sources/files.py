@@ -139,6 +139,18 @@ def latest_per_key(df: DataFrame, keys: list[str], order_col: str = "snapshot_da
     return latest.select(*keys, *[F.col(f"__row.{c}").alias(c) for c in others])
 
 
+def list_files(spark: SparkSession, pattern: str) -> DataFrame:
+    """Files under a path or glob with size and modification time (listing a
+    zone next to its audit log).  ``binaryFile`` prunes the content column,
+    so no file is opened."""
+    return (
+        spark.read.format("binaryFile")
+        .option("recursiveFileLookup", True)
+        .load(pattern)
+        .select("path", "length", "modificationTime")
+    )
+
+
 AUDIT_SCHEMA = T.StructType(
     [
         T.StructField("timestamp", T.StringType()),
