@@ -162,3 +162,13 @@ def test_declared_sources_order():
     specs = parse_sources(cfg)
     assert [s.name for s in specs] == ["c", "f"]
     assert specs[0].jdbc_url == "jdbc:postgresql://h:5432/d"
+
+
+def test_object_store_conf():
+    from sparkmart.session import object_store_conf
+
+    conf = object_store_conf("store:9000", "key", "secret")
+    assert conf["spark.hadoop.fs.s3a.endpoint"] == "http://store:9000"
+    assert conf["spark.hadoop.fs.s3a.path.style.access"] == "true"
+    assert conf["spark.hadoop.fs.s3a.access.key"] == "key"
+    assert object_store_conf("https://s", "k", "s", secure=True)["spark.hadoop.fs.s3a.endpoint"] == "https://s"
