@@ -14,6 +14,7 @@ when ``freq >= ceil(min_support * n)``; a rule keeps
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -85,7 +86,11 @@ def fp_growth(
     if num_partitions:
         fp = fp.setNumPartitions(num_partitions)
     model = fp.fit(baskets.select(items_col))
-    return model.freqItemsets, model.associationRules
+    # The itemsets are a lazy result of the mining; rule generation reads
+    # them twice (candidates, then a join), so keep them once.  The cache is
+    # matched by plan, so the model's own handle reuses it as well.
+    freq = model.freqItemsets.persist(StorageLevel.MEMORY_AND_DISK)
+    return freq, model.associationRules
 
 
 def itemsets_as_text(freq_itemsets: DataFrame, max_size: int | None = None) -> DataFrame:

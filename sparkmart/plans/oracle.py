@@ -17,6 +17,10 @@ products AS (
   SELECT p_partkey AS product_id, p_name AS product_name, p_brand AS brand,
          p_type AS category, p_retailprice AS price, p_size AS stock
   FROM part),
+line_items AS (
+  SELECT l_orderkey AS order_id, l_linenumber AS line_number, l_partkey AS product_id,
+         l_quantity AS quantity
+  FROM lineitem),
 order_lines AS (
   SELECT l_orderkey AS order_id, l_linenumber AS line_number, o_custkey AS customer_id,
          l_partkey AS product_id, l_quantity AS quantity, o_orderdate AS order_date

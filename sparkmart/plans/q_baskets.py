@@ -35,8 +35,8 @@ def baskets_by_customer_type(spark, sf_dir):
 @query(
     "baskets_by_order_brand",
     with_domain()
-    + """SELECT ol.order_id, string_agg(DISTINCT p.brand, ', ' ORDER BY p.brand) AS items
-FROM order_lines ol LEFT JOIN products p ON ol.product_id = p.product_id GROUP BY ol.order_id""",
+    + """SELECT l.l_orderkey AS order_id, string_agg(DISTINCT p.brand, ', ' ORDER BY p.brand) AS items
+FROM lineitem l LEFT JOIN products p ON l.l_partkey = p.product_id GROUP BY l.l_orderkey""",
 )
 def baskets_by_order_brand(spark, sf_dir):
     b = _order_brand_baskets(spark, sf_dir)
@@ -44,7 +44,8 @@ def baskets_by_order_brand(spark, sf_dir):
 
 
 def _order_brand_baskets(spark, sf_dir):
-    return baskets(adapter.order_lines(spark, sf_dir), adapter.products(spark, sf_dir),
+    # an order's basket needs only its lines: no join to the order header
+    return baskets(adapter.line_items(spark, sf_dir), adapter.products(spark, sf_dir),
                    "order_id", "brand")
 
 
@@ -54,8 +55,8 @@ def _mine(spark, sf_dir):
 
 
 RULE_CTES = f"""
-b AS (SELECT DISTINCT ol.order_id AS basket, p.brand AS item
-      FROM order_lines ol LEFT JOIN products p ON ol.product_id = p.product_id),
+b AS (SELECT DISTINCT l.l_orderkey AS basket, p.brand AS item
+      FROM lineitem l LEFT JOIN products p ON l.l_partkey = p.product_id),
 nb AS (SELECT count(DISTINCT basket) AS n FROM b),
 i1 AS (SELECT item, count(*) AS freq FROM b WHERE item IS NOT NULL GROUP BY item
        HAVING count(*) >= (SELECT ceil({MIN_SUPPORT} * n) FROM nb)),

@@ -83,9 +83,9 @@ def describe_age(spark, sf_dir):
     return _describe(adapter.customers(spark, sf_dir), ["age"])
 
 
-@query("describe_quantity", with_domain() + _describe_sql("order_lines", ["quantity"]))
+@query("describe_quantity", with_domain() + _describe_sql("line_items", ["quantity"]))
 def describe_quantity(spark, sf_dir):
-    return _describe(adapter.order_lines(spark, sf_dir), ["quantity"])
+    return _describe(adapter.line_items(spark, sf_dir), ["quantity"])
 
 
 @query("describe_price_stock", with_domain() + _describe_sql("products", ["price", "stock"]))
