@@ -5,11 +5,15 @@ sum / average → customers ⟕ aggregate → fill → median of spend → label
 
 Plan shape (see ``explain``): the price join is a broadcast hash join while
 the product table is under the session's broadcast threshold and a
-sort-merge join beyond it (the planner checks the size); the aggregate is
-partial per task then final after one shuffle on ``customer_id``, so a hot
-customer collapses map-side; the customers ⟕ aggregate join is 1:1.  The
-median is computed by :func:`sparkmart.operators.quantiles.quantile_disc`
-on the persisted pre-label frame, so the joins run once.
+sort-merge join beyond it (the planner checks the size); aggregates are
+partial per task then final after one shuffle, so a hot customer or order
+collapses map-side; the customers ⟕ aggregate join is 1:1 and reuses the
+aggregate's partitioning on ``customer_id``.  When lines come without a
+customer (line items + an order header), lines are reduced per order
+before the header join (:func:`spend_aggregate_by_order`), so the largest
+join shuffles orders instead of lines.  The median is computed by
+:func:`sparkmart.operators.quantiles.quantile_disc` on the persisted
+pre-label frame, so the joins run once.
 """
 
 from __future__ import annotations
