@@ -29,8 +29,11 @@ def indexer(col: str, out: str | None = None) -> StringIndexer:
 
 def standardized(df: DataFrame, cols: list[str], key: str, digits: int | None = None) -> DataFrame:
     """F5 applied: one ``z_<col>`` column per input column, keyed rows."""
+    from pyspark import StorageLevel
     from pyspark.ml import Pipeline
 
+    # fit (mean / std pass) and transform both read the input: evaluate it once
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
     model = Pipeline(stages=[assembler(cols, "raw_features"), scaler()]).fit(df)
     arr = vector_to_array(F.col("features"))
     zs = []
