@@ -22,7 +22,7 @@ from sparkmart.sinks.files import csv_safe, write_parquet
 
 
 @dataclass
-class PipelineConfig:
+class EndToEndConfig:
     k: int = 5
     kmeans_features: list[str] = field(default_factory=lambda: ["age", "total_orders", "total_spend"])
     tree_numeric: list[str] = field(
@@ -44,16 +44,16 @@ def _timed(timings: list, stage: str, fn):
     return out
 
 
-def run_pipeline(
+def run_end_to_end(
     spark: SparkSession,
     customers: DataFrame,
     orders: DataFrame,
     products: DataFrame,
     base: str,
-    cfg: PipelineConfig | None = None,
+    cfg: EndToEndConfig | None = None,
 ) -> tuple[list[tuple[str, float]], dict[str, int]]:
     """Run all stages; returns (stage timings, rows written per stage)."""
-    cfg = cfg or PipelineConfig()
+    cfg = cfg or EndToEndConfig()
     timings: list[tuple[str, float]] = []
     written: dict[str, int] = {}
     paths = {s: f"{base.rstrip('/')}/processed/{s}" for s in

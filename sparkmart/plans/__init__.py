@@ -35,6 +35,6 @@ def load_all() -> None:
         q_quality,
         q_baskets,
         q_models,
-        q_pipeline,
+        q_end_to_end,
         q_streaming,
     )

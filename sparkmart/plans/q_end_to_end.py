@@ -1,24 +1,24 @@
-"""End-to-end pipeline query (B1): rows written by each stage (rows-only check)."""
+"""End-to-end run query (B1): rows written by each stage (rows-only check)."""
 
 from __future__ import annotations
 
 from sparkmart import adapter
-from sparkmart.pipeline import PipelineConfig, run_pipeline, stage_rows_frame
+from sparkmart.end_to_end import EndToEndConfig, run_end_to_end, stage_rows_frame
 from sparkmart.plans import query
 from sparkmart.session import scratch_path
 
 # Order × brand baskets (see q_baskets): per-customer baskets of the test
 # tables are too dense for FP-Growth at a useful support.
-TESTDATA_CONFIG = PipelineConfig(
+TESTDATA_CONFIG = EndToEndConfig(
     k=5, item_col="brand", basket_key=["order_id"], min_support=0.01, min_confidence=0.1
 )
 
 
-@query("pipeline_stage_rows")
-def pipeline_stage_rows(spark, sf_dir):
+@query("end_to_end_stage_rows")
+def end_to_end_stage_rows(spark, sf_dir):
     c, ol, p = adapter.domain(spark, sf_dir)
-    base = scratch_path(spark, "pipeline")
-    _, written = run_pipeline(
+    base = scratch_path(spark, "end-to-end")
+    _, written = run_end_to_end(
         spark, c.select("customer_id", "customer_name", "city", "age"), ol, p, base, TESTDATA_CONFIG
     )
     return stage_rows_frame(spark, written)
