@@ -87,20 +87,27 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     Only a ``local[...]`` session without that setting gets a fresh temp
     folder (tests, laptops); on a cluster a machine-local folder would be
     invisible to other executors, so an unset setting is an error there.
+    Works without a SparkContext handle (Spark Connect) from the conf alone.
     """
-    current = spark.sparkContext.getCheckpointDir()
-    if current:
-        return current
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect sessions expose no context
+        sc = None
+    if sc is not None and sc.getCheckpointDir():
+        return sc.getCheckpointDir()
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        if not spark.sparkContext.master.startswith("local"):
+        master = sc.master if sc is not None else spark.conf.get("spark.master", "")
+        if not master.startswith("local"):
             raise RuntimeError(
                 "set spark.checkpoint.dir to a shared folder (e.g. an object-store or HDFS path)"
             )
         configured = tempfile.mkdtemp(prefix="sparkmart-ckpt-")
         spark.conf.set("spark.checkpoint.dir", configured)
-    spark.sparkContext.setCheckpointDir(configured)
-    return spark.sparkContext.getCheckpointDir() or configured
+    if sc is not None:
+        sc.setCheckpointDir(configured)
+        return sc.getCheckpointDir() or configured
+    return configured
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
