@@ -49,7 +49,6 @@ def features_sql(
     lines_cte: str = "order_lines",
     cust_cols: str = "c.customer_id, c.customer_name, c.city, c.age",
     round_avg: bool = True,
-    age_fill: bool = False,
 ) -> str:
     """CTE text ending in ``feats`` (pre-label) and ``labeled``."""
     avg = "a.total_spend / NULLIF(a.priced_lines, 0)"

@@ -13,9 +13,9 @@ from sparkmart.plans.oracle import features_sql, with_domain
 
 # Planted cases.  The test tables have no orphan keys and no nulls, so a few
 # queries restrict a dimension to exercise the outer-join and fill paths; the
-# fact tables are always read whole.
+# line items are always read whole.
 #  - a product catalogue without the PROMO type → order lines of unknown products
-#  - orders of one year only → customers without orders
+#  - order headers of one year only → customers without orders
 #  - customers with a negative balance get no recorded age → nullable age
 CATALOGUE_EXCLUDED_TYPE = "PROMO"
 ORDER_YEAR = 1996
