@@ -51,15 +51,24 @@ def describe(df: DataFrame, cols: list[str], digits: int | None = None) -> DataF
     return df.agg(F.array(*[stat(c) for c in cols]).alias("s")).select(F.inline("s"))
 
 
+def _numbers(df: DataFrame, col: str) -> DataFrame:
+    """Rows with a number in ``col`` (NULL and, for floating columns, NaN skipped)."""
+    keep = F.col(col).isNotNull()
+    if isinstance(df.schema[col].dataType, (T.FloatType, T.DoubleType)):
+        keep = keep & ~F.isnan(col)
+    return df.where(keep)
+
+
 def min_max(df: DataFrame, col: str) -> tuple[float | None, float | None]:
-    row = df.agg(F.min(col).alias("lo"), F.max(col).alias("hi")).first()
+    row = _numbers(df, col).agg(F.min(col).alias("lo"), F.max(col).alias("hi")).first()
     return row["lo"], row["hi"]
 
 
 def histogram(df: DataFrame, col: str, bins: int = 10) -> DataFrame:
     """Equal-width bins over [min, max]; the max falls in the last bin.
 
-    Returns every bin (``bin, bin_lo, bin_hi, count``), empty ones with 0.
+    Returns every bin (``bin, bin_lo, bin_hi, count``), empty ones with 0;
+    NULL and NaN values are not counted.
     Bounds come from one small aggregate; the counting pass is lazy.
     """
     spark = df.sparkSession
@@ -69,7 +78,7 @@ def histogram(df: DataFrame, col: str, bins: int = 10) -> DataFrame:
         return spark.createDataFrame([], schema)
     lo_c, hi_c = F.lit(float(lo)), F.lit(float(hi))
     counts = (
-        df.where(F.col(col).isNotNull())
+        _numbers(df, col)
         .select(hist_bin(F.col(col).cast(T.DoubleType()), lo_c, hi_c, bins).alias("bin"))
         .groupBy("bin")
         .agg(F.count(F.lit(1)).alias("count"))

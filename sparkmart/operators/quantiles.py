@@ -35,16 +35,26 @@ def quantile_disc(
     if not 0.0 <= q <= 1.0:
         raise ValueError(f"quantile must be in [0, 1], got {q}")
     x = F.col(col)
+    floating = isinstance(df.schema[col].dataType, (T.FloatType, T.DoubleType))
     values = df.select(x.alias("v")).where(F.col("v").isNotNull())
+    # NaN sorts above every number (as in SQL): count it, refine over the rest
+    nan = F.isnan("v") if floating else F.lit(False)
     stats = values.agg(
-        F.count("v").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")
+        F.count("v").alias("n"),
+        F.count_if(nan).alias("nan"),
+        F.min(F.when(~nan, F.col("v"))).alias("lo"),
+        F.max(F.when(~nan, F.col("v"))).alias("hi"),
     ).first()
     n, lo, hi = stats["n"], stats["lo"], stats["hi"]
     if n == 0:
         return None
     k = max(1, math.ceil(q * n))  # 1-based rank wanted
+    if k > n - stats["nan"]:
+        return float("nan")
+    if floating:
+        values = values.where(~F.isnan("v"))
     below = 0  # rows strictly below the band
-    band_n = n
+    band_n = n - stats["nan"]
     while True:
         if lo == hi:
             return lo

@@ -48,3 +48,9 @@ def test_table_counts_and_top_k(spark):
     df = spark.createDataFrame([(1, 5.0), (2, 9.0), (3, 9.0), (4, 1.0)], "id int, v double")
     assert [r["id"] for r in top_k(df, 2, "v", "id").collect()] == [2, 3]
     assert math.isclose(top_k(df, 1, "v", "id").first()["v"], 9.0)
+
+
+def test_histogram_skips_nan(spark):
+    df = spark.createDataFrame([(0.0,), (10.0,), (float("nan"),), (5.0,)], "x double")
+    rows = histogram(df, "x", bins=2).collect()
+    assert [r["count"] for r in rows] == [1, 2]

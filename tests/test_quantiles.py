@@ -51,3 +51,12 @@ def test_approx_within_one_percent_rank(spark):
     df = spark.createDataFrame([(float(v),) for v in values], "x double")
     got = approx_quantile(df, "x", 0.5, 0.01)
     assert abs(got - 5000) <= 0.01 * 10_000
+
+
+def test_nan_sorts_above_numbers(spark):
+    values = [1.0, 2.0, 3.0, float("nan"), float("nan")]
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    assert quantile_disc(df, "x", 0.5) == 3.0  # 3rd of 5
+    assert math.isnan(quantile_disc(df, "x", 0.8))  # 4th of 5 is NaN
+    sql = df.selectExpr("percentile_disc(0.5) WITHIN GROUP (ORDER BY x) AS m").first()["m"]
+    assert sql == 3.0
