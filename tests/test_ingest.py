@@ -57,3 +57,23 @@ def test_cli_and_storage_settings(spark, tmp_path):
     )
     assert main(["--sources", str(tmp_path / "sources.yaml"), "--raw-base", str(tmp_path / "lake")]) == 0
     assert list((tmp_path / "lake" / "raw" / "csv" / "c").iterdir())
+
+
+def test_parquet_and_xlsx_sources(spark, tmp_path):
+    from test_sources_sinks import _workbook
+
+    from sparkmart.sinks.files import write_parquet
+
+    write_parquet(spark.createDataFrame([(1, "a"), (2, "b")], "id int, name string"),
+                  str(tmp_path / "p"))
+    (tmp_path / "x").mkdir()
+    (tmp_path / "x" / "products.xlsx").write_bytes(_workbook())
+    specs = [
+        SourceSpec("from_parquet", "parquet", "raw/pq/t/t.csv", path=str(tmp_path / "p")),
+        SourceSpec("products_from_xlsx", "xlsx", "raw/xlsx/products/products.csv",
+                   path=str(tmp_path / "x")),
+    ]
+    rows = run_all(spark, specs, str(tmp_path / "lake"), str(tmp_path / "lake" / "log"))
+    assert [(r.dataset_name, r.status, r.rows) for r in rows] == [
+        ("from_parquet", "SUCCESS", 2), ("products_from_xlsx", "SUCCESS", 2),
+    ]

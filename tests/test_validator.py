@@ -112,3 +112,9 @@ def test_signed_zero_and_nan_rows_are_duplicates(spark):
     rows = [(0.0, "x"), (-0.0, "x"), (float("nan"), "y"), (float("nan"), "y"), (1.0, "z")]
     s = quality_summary(df(spark, rows, "a double, b string")).first()
     assert s["n_rows"] == 5 and s["duplicate_rows"] == 2
+
+
+def test_nested_columns_are_compared_by_value(spark):
+    rows = [({"k": 1}, [1, 2]), ({"k": 1}, [1, 2]), ({"k": 2}, None)]
+    s = quality_summary(spark.createDataFrame(rows, "m map<string,int>, a array<int>")).first()
+    assert (s["n_rows"], s["duplicate_rows"]) == (3, 1)
