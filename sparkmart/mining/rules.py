@@ -85,7 +85,10 @@ def fp_growth(
     fp = FPGrowth(itemsCol=items_col, minSupport=min_support, minConfidence=min_confidence)
     if num_partitions:
         fp = fp.setNumPartitions(num_partitions)
-    model = fp.fit(baskets.select(items_col))
+    # fit caches its input unless the input is already persisted; persist the
+    # item column once here so the lazy mining after fit reads the same copy
+    items = baskets.select(items_col).persist(StorageLevel.MEMORY_AND_DISK)
+    model = fp.fit(items)
     # The itemsets are a lazy result of the mining; rule generation reads
     # them twice (candidates, then a join), so keep them once.  The cache is
     # matched by plan, so the model's own handle reuses it as well.
