@@ -111,19 +111,17 @@ def run_decision_tree(
     else:
         train, test = df.randomSplit([1 - test_ratio, test_ratio], seed=seed)
     train = train.persist(StorageLevel.MEMORY_AND_DISK)
-    # maxBins must exceed the category count of every categorical input.
-    n_cats = 0
-    if categorical_cols:
-        row = train.agg(*[F.count_distinct(c).alias(c) for c in categorical_cols]).first()
-        n_cats = max(int(row[c]) for c in categorical_cols)
-    indexers = [indexer(c) for c in categorical_cols]
+    # Index categories first: the fitted indexers know each category count,
+    # and maxBins must exceed it (plus the extra bucket for unseen values).
+    index = Pipeline(stages=[indexer(c) for c in categorical_cols]).fit(train)
+    n_cats = max((len(m.labels) for m in index.stages), default=0)
     inputs = numeric_cols + [f"{c}_idx" for c in categorical_cols]
     tree = DecisionTreeClassifier(
         featuresCol="features", labelCol=label_col, predictionCol="prediction",
         maxDepth=max_depth, maxBins=max(32, n_cats + 2), seed=seed,
     )
-    model = Pipeline(stages=indexers + [assembler(inputs, "features"), tree]).fit(train)
-    preds = model.transform(test).drop("features")
+    model = Pipeline(stages=[assembler(inputs, "features"), tree]).fit(index.transform(train))
+    preds = model.transform(index.transform(test)).drop("features")
     return preds, area_under_roc(preds, label_col, "rawPrediction")
 
 
