@@ -142,6 +142,8 @@ def splitmix(x: np.ndarray) -> np.ndarray:
 
 _WS = np.zeros(256, bool)
 _WS[[0x20, *range(0x09, 0x0E)]] = True
+_PUNCT = _WS.copy()
+_PUNCT[[*range(0x21, 0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x7F)]] = True
 _LOWER = np.arange(256)
 _LOWER[65:91] += 32
 _BYTE = splitmix(np.arange(1, 257, dtype=np.uint64) * _U(0x9E3779B97F4A7C15))[_LOWER]
@@ -160,34 +162,55 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _POW[0], _POW[1]
 
 
-def _hash_block(data: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes and start bytes of the words in ``data``; a text begins at each of ``first``."""
-    n = len(data)
-    up, down = _powers(n + 1)
-    gap = _WS[data]
-    cut = np.zeros(n + 1, bool)
-    cut[first] = True
-    cut[n] = True
-    word = ~gap
-    start = word.copy()
-    start[1:] &= gap[:-1] | cut[1:n]
-    end = word.copy()
-    end[:-1] &= gap[1:] | cut[1:n]
-    s = np.flatnonzero(start)
-    e = np.flatnonzero(end) + 1
-    with np.errstate(over="ignore"):
-        total = np.concatenate([[_U(0)], np.cumsum(_BYTE[data] * up[:n], dtype=np.uint64)])
-        return splitmix((total[e] - total[s]) * down[s] + (e - s).astype(np.uint64)), s
+class Words:
+    """The words in ``data`` (bytes ``s[i]:e[i]``); a text begins at each of
+    ``first``, and ``gaps`` flags the bytes between words."""
+
+    def __init__(self, data: np.ndarray, first: np.ndarray, gaps: np.ndarray):
+        n = len(data)
+        up, self.down = _powers(n + 1)
+        gap = gaps[data]
+        cut = np.zeros(n + 1, bool)
+        cut[first] = True
+        cut[n] = True
+        start = ~gap
+        end = start.copy()
+        start[1:] &= gap[:-1] | cut[1:n]
+        end[:-1] &= gap[1:] | cut[1:n]
+        self.s, self.e = np.flatnonzero(start), np.flatnonzero(end) + 1
+        with np.errstate(over="ignore"):
+            self.total = np.concatenate(
+                [[_U(0)], np.cumsum(_BYTE[data] * up[:n], dtype=np.uint64)]
+            )
+
+    def hashes(self, prefix: int = 0) -> np.ndarray:
+        """Hashes of the words, or of their first ``prefix`` bytes where they are longer."""
+        s, e = self.s, self.e
+        if prefix:
+            e = np.minimum(e, s + prefix)
+        with np.errstate(over="ignore"):
+            return splitmix(
+                (self.total[e] - self.total[s]) * self.down[s] + (e - s).astype(np.uint64)
+            )
+
+
+def _hash_block(data: np.ndarray, first: np.ndarray, gaps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    words = Words(data, first, gaps)
+    return words.hashes(), words.s
 
 
-def word_groups(texts: Sequence[bytes | None]) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def word_groups(
+    texts: Sequence[bytes | None], punctuation: bool = False
+) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """Groups ``(i, j, words, bounds)``: the 64-bit hashes of the words of
     ``texts[i:j]`` and where each text's words begin and end in ``words``.
 
-    Words are ``[^\\x20\\x09-\\x0D]+`` with A-Z lower-cased.  A null text has no
-    words.  Temporary arrays are bounded by ``GROUP_BYTES`` for any text
-    length; only the 8 bytes a word of one text are held whole.
+    Words are ``[^\\x20\\x09-\\x0D]+`` with A-Z lower-cased; ``punctuation``
+    makes ASCII punctuation part of the gaps.  A null text has no words.
+    Temporary arrays are bounded by ``GROUP_BYTES`` for any text length; only
+    the 8 bytes a word of one text are held whole.
     """
+    gaps = _PUNCT if punctuation else _WS
     i, n = 0, len(texts)
     while i < n:
         j, size = i, 0
@@ -195,7 +218,7 @@ def word_groups(texts: Sequence[bytes | None]) -> Iterator[tuple[int, int, np.nd
             size += len(texts[j] or b"")
             j += 1
         if size > GROUP_BYTES:  # one long text: blocks that end at white space
-            words = np.concatenate([np.zeros(0, np.uint64), *_long_text(texts[i])])
+            words = np.concatenate([np.zeros(0, np.uint64), *_long_text(texts[i], gaps)])
             yield i, j, words, np.array([0, len(words)])
         else:
             lengths = np.array([len(t or b"") for t in texts[i:j]])
@@ -203,7 +226,7 @@ def word_groups(texts: Sequence[bytes | None]) -> Iterator[tuple[int, int, np.nd
             if size:
                 data = np.frombuffer(b"".join(t or b"" for t in texts[i:j]), np.uint8)
                 first = (ends - lengths)[lengths > 0]
-                words, at = _hash_block(data, first)
+                words, at = _hash_block(data, first, gaps)
                 bounds = np.concatenate([[0], np.searchsorted(at, ends)])
             else:
                 words, bounds = np.zeros(0, np.uint64), np.zeros(j - i + 1, np.int64)
@@ -211,20 +234,26 @@ def word_groups(texts: Sequence[bytes | None]) -> Iterator[tuple[int, int, np.nd
         i = j
 
 
-def _long_text(text: bytes) -> Iterator[np.ndarray]:
+def _long_text(text: bytes, gap: np.ndarray) -> Iterator[np.ndarray]:
+    for data in text_blocks(text, gap):
+        yield _hash_block(data, np.array([0]), gap)[0]
+
+
+def text_blocks(text: bytes, gap: np.ndarray = _WS) -> Iterator[np.ndarray]:
+    """Parts of a text of about ``GROUP_BYTES`` each, cut between words."""
     data = np.frombuffer(text, np.uint8)
     at = 0
     while at < len(data):
         end = min(at + GROUP_BYTES, len(data))
         if end < len(data):
-            gaps = np.flatnonzero(_WS[data[at:end]])
-            while not len(gaps) and end < len(data):  # a word longer than a block
+            cuts = np.flatnonzero(gap[data[at:end]])
+            while not len(cuts) and end < len(data):  # a word longer than a block
                 more = min(end + GROUP_BYTES, len(data))
-                gaps = np.flatnonzero(_WS[data[end:more]]) + (end - at)
+                cuts = np.flatnonzero(gap[data[end:more]]) + (end - at)
                 end = more
-            if len(gaps) and end < len(data):
-                end = at + int(gaps[-1]) + 1
-        yield _hash_block(data[at:end], np.array([0]))[0]
+            if len(cuts) and end < len(data):
+                end = at + int(cuts[-1]) + 1
+        yield data[at:end]
         at = end
 
 

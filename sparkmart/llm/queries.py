@@ -74,3 +74,42 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     planned, _ = plan_copies(docs, keep=["doc_id", "source"])
     return planned.selectExpr("doc_id", "size", "source_size", "target", "copies * size AS taken")
+
+
+@query("op8_bpe_token_counts")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from sparkmart.llm.token_counts import count_tokens
+
+    docs = table(spark, sf_dir, "documents").selectExpr(
+        "doc_id", "text", "coalesce(octet_length(text), 0)::bigint AS n_bytes"
+    )
+    counted = count_tokens(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    return counted.selectExpr("doc_id", "n_bytes", "n_tokens", "n_tokens > 1024 AS over_limit")
+
+
+@query("op9_pigeonhole_decontamination")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per document and benchmark item found in it (best match)."""
+    from sparkmart.llm.decontaminate import find_leaks
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found, name = find_leaks(docs, table(spark, sf_dir, "benchmark"))
+    return found.selectExpr("doc_id", f"inline({name})")
+
+
+@query("op10_nnpu_toxicity")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from sparkmart.llm.toxicity import held_out, score, train
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = train(docs, table(spark, sf_dir, "labels"))
+    return score(docs, model).select(
+        "doc_id",
+        held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.7).cast("int").alias("predicted"),
+    )
