@@ -113,3 +113,34 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
         "score",
         (F.col("score") >= 0.7).cast("int").alias("predicted"),
     )
+
+
+OP5_SQL = """
+WITH p AS (
+  SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes,
+         sha256(coalesce(html, '')) AS payload_digest FROM pages),
+f AS (
+  SELECT *, CASE WHEN payload_bytes >= 100
+                 THEN min(page_id) OVER (PARTITION BY payload_digest) ELSE page_id END AS first
+  FROM p)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN first <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN first <> page_id THEN first END AS refers_to
+FROM f
+"""
+
+
+@query("op5_warc_normaliser", OP5_SQL)
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from sparkmart.llm.warc import archive_pages, page_of
+
+    records = archive_pages(table(spark, sf_dir, "pages"))
+    return records.select(
+        page_of(F.col("record_id")).alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        page_of(F.col("refers_to")).alias("refers_to"),
+    )
