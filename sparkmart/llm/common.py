@@ -39,6 +39,18 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def bound_batches(df: DataFrame, limit: int = 16 << 20) -> None:
+    """Keep the Arrow batches sent to Python tasks within ``limit`` bytes (one
+    row at least), unless the session already has a smaller limit."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    conf = df.sparkSession.conf
+    text = str(conf.get(key, str(2**31 - 1))).strip().lower()
+    digits = text.rstrip("bkmg")
+    unit = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30}.get(text[len(digits) : len(digits) + 1], 1)
+    if not digits.isdigit() or int(digits) * unit > limit:
+        conf.set(key, str(limit))
+
+
 def global_index(df: DataFrame, order: Sequence[Column], name: str) -> DataFrame:
     """Add ``name``: the row's 0-based position in the total order ``order``.
 
@@ -289,17 +301,3 @@ def shingle_sets(texts: Sequence[bytes | None], k: int) -> Iterator[np.ndarray]:
                 yield splitmix(h)
             else:
                 yield np.zeros(0, np.uint64)
-
-
-def batches_of(rows: int, sizes: Sequence[int], limit: int = 8 << 20) -> Iterator[tuple[int, int]]:
-    """Slices of ``range(rows)`` with at most ``limit`` bytes each (one row at least)."""
-    i = 0
-    while i < rows:
-        j, total = i, 0
-        while j < rows and (j == i or total + sizes[j] <= limit):
-            total += sizes[j]
-            j += 1
-        yield i, j
-        i = j
-
-

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sparkmart.llm.common import _powers, col, free_name, splitmix, word_groups
+from sparkmart.llm.common import _powers, bound_batches, col, free_name, splitmix, word_groups
 
 BLOCK_BYTES = 16 << 20
 _U = np.uint64
@@ -186,6 +186,7 @@ def find_leaks(
 ) -> tuple[DataFrame, str]:
     """``docs`` with an array of the best match per item (empty where none),
     and the name of that column (``matches`` unless ``docs`` has one)."""
+    bound_batches(docs)
     items = benchmark.select(
         col(item_col).cast("long").alias("i"), col(item_text_col).alias("t")
     ).filter("t is not null")

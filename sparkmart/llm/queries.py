@@ -144,3 +144,12 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
         "record_type",
         page_of(F.col("refers_to")).alias("refers_to"),
     )
+
+
+@query("op7_hyperminhash_dedup")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sparkmart.llm.near_dedup import near_duplicates
+
+    docs = table(spark, sf_dir, "documents")
+    found = near_duplicates(docs, k=4, threshold=80)
+    return found.selectExpr("id AS doc_id", "n_shingles", "component AS component_id", "kept")

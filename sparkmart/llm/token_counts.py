@@ -26,7 +26,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkmart.llm.common import col
+from sparkmart.llm.common import bound_batches, col
 
 # Fixed values.  Letters and numbers assigned after version 16 of the Unicode
 # tables, which the vocabulary's library has; the `regex` module knows later ones.
@@ -195,6 +195,7 @@ def count_tokens(docs: DataFrame, vocabulary: str, text_col: str = "text", out:
     reads it (a vocabulary is a megabyte or two) and ships it with the task,
     so executors need no copy of the file.
     """
+    bound_batches(docs)
     with open(vocabulary, encoding="utf-8") as f:
         spec = f.read()
     if len(spec) > 64 << 20:

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparkmart.llm.common import _PUNCT, GROUP_BYTES, Words, col, free_name, text_blocks
+from sparkmart.llm.common import _PUNCT, GROUP_BYTES, Words, bound_batches, col, free_name, text_blocks
 
 PREFIXES = (0, 4, 5, 6)  # 0: the whole word
 _U = np.uint64
@@ -155,6 +155,7 @@ def train(
 ) -> Model:
     """Fit on rows that are not held out.  ``class_prior`` is by default the
     toxic share of the labelled rows that may be learnt from."""
+    bound_batches(docs)
     known = (
         labels.select(col(id_col).alias("id"), col(label_col).alias("y"))
         .filter(F.col("id").isNotNull() & F.col("y").isNotNull() & ~held_out(F.col("id")))
@@ -251,6 +252,8 @@ def train(
 def score(docs: DataFrame, model: Model, text_col: str = "text", out: str = "score") -> DataFrame:
     """``docs`` with the model's score of each whole text (0 to 1)."""
 
+    bound_batches(docs)
+
     @F.pandas_udf("double")
     def scored(texts: pd.Series) -> pd.Series:
         return pd.Series(model.scores([None if t is None else t.encode() for t in texts]))

@@ -34,7 +34,7 @@ from pyarrow import fs
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparkmart.llm.common import col, materialize
+from sparkmart.llm.common import bound_batches, col, materialize
 from sparkmart.session import scratch_path
 
 CHUNK = 1 << 20
@@ -159,6 +159,7 @@ def write_archives(
             {"archive": [f"{folder}/{name}"], "records": [n], "bytes": [size]}
         )
 
+    bound_batches(records)
     rows = records.select(
         F.col("id").alias("page"), "url", "payload", "digest", "refers_to"
     )
