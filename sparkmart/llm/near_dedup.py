@@ -16,9 +16,12 @@ Groups of copies cost no pairs among themselves:
   sits in the fullest buckets (the likely origin of the copies);
 * then only buckets whose members are still in several components are looked
   at again, pairing every member outside the bucket's largest component with
-  all members of other components.  Where that would be many pairs, the
-  bucket is split by a second (and third) band first, which keeps similar
-  pairs together and parts chance neighbours.
+  the members of other components.  Documents of buckets where that would be
+  more than ``FEW`` pairs (a passage that many documents share fills such
+  buckets) are banded anew among themselves with longer bands, as many as keep the chance of a miss near 1 in 100,000.  What is
+  still crowded after that is a group of edited copies: there, shingles that
+  no other document of the group has (counted exactly) bound each pair's
+  similarity from above, which rules out copies with many edits of their own.
 
 So every candidate pair is either compared or already connected, and the
 components are those of all confirmed links.
@@ -53,8 +56,9 @@ from sparkmart.llm.common import (
 P, R, ROWS = 7, 10, 4  # 2**P buckets, R mantissa bits, registers a band
 BUCKETS, BANDS = 1 << P, (1 << P) // ROWS
 SIGMAS = 6.0
-SPLIT_ABOVE = 20_000  # pairs a bucket may give before it is split by another band
-LEVELS = 3
+FEW = 256  # pairs that a bucket may give before longer bands take over
+# Registers a band and bands, level by level: (1 - 0.8**r)**b is about 1e-5.
+LONGER = ((8, 64), (12, 160), (16, 400))
 _U = np.uint64
 _STARTS = np.arange(BUCKETS, dtype=np.uint64) << _U(64 - P)
 
@@ -142,12 +146,42 @@ def _bands(reps: DataFrame) -> DataFrame:
     three shingles are only similar if equal and need no band."""
     return (
         reps.filter("n > 3")
-        .select("id", F.posexplode("regs").alias("band", "packed"))
+        .select("id", "n", F.posexplode("regs").alias("band", "packed"))
         .filter("packed <> 0")
-        .select(F.xxhash64("band", "packed").alias("key"), "id")
+        .select(F.xxhash64("band", "packed").alias("key"), "id", "n")
     )
 
 
+def _longer_bands(reps: DataFrame, rows: int, bands: int) -> DataFrame:
+    """``(key, id, n)`` for bands of ``rows`` registers chosen at random (but
+    the same for every document)."""
+    chosen = np.stack(
+        [np.random.default_rng([rows, i]).permutation(BUCKETS)[:rows] for i in range(bands)]
+    )
+    salt = splitmix(np.arange(1, bands + 1, dtype=np.uint64))
+
+    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            regs = unpacked(batch.column(2).flatten().to_numpy().reshape(-1, BANDS))
+            with np.errstate(over="ignore"):
+                h = np.broadcast_to(salt, (len(regs), bands))
+                some = np.zeros((len(regs), bands), bool)
+                for j in range(rows):
+                    part = regs[:, chosen[:, j]]
+                    some |= part != 0
+                    h = splitmix(h + part.astype(np.uint64) + _U(1))
+            owner, band = np.nonzero(some)
+            at = pa.array(owner)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(h[owner, band].view(np.int64)), batch.column(0).take(at), batch.column(1).take(at)],
+                ["key", "id", "n"],
+            )
+
+    return reps.select("id", "n", "regs").mapInArrow(keys, "key long, id long, n long")
+
+
 def _shared(rows: DataFrame) -> DataFrame:
     """The rows whose ``key`` has several, with the number as ``size``.  The
     counts are combined map-side; a hot key then meets one row in the join."""
@@ -218,40 +252,74 @@ def _star_pairs(shared: DataFrame) -> DataFrame:
     ).distinct()
 
 
-def _open_pairs(rows: DataFrame, bands: DataFrame, level: int = 1) -> DataFrame | None:
-    """Pairs across components within the buckets ``rows(key, id, comp)``."""
+def _lone_shingles(ids: DataFrame, texts: DataFrame, k: int) -> DataFrame:
+    """``(id, lone)``: how many of a document's shingles no other of ``ids`` has."""
+    rows = texts.join(ids, "id", "left_semi")
+    bound_batches(rows)
+
+    def shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = list(shingle_sets(batch.column(1).cast(pa.large_binary()).to_pylist(), k))
+            if sets:
+                owner = pa.array(np.repeat(np.arange(len(sets)), [len(x) for x in sets]))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.concatenate(sets).view(np.int64)), batch.column(0).take(owner)],
+                    ["h", "id"],
+                )
+
+    each = rows.select("id", "text").mapInArrow(shingles, "h long, id long")
+    once = each.groupBy("h").agg(F.min("id").alias("id"), F.max("id").alias("other"))
+    return once.filter("id = other").groupBy("id").agg(F.count(F.lit(1)).alias("lone"))
+
+
+def _open_pairs(
+    rows: DataFrame, comp: DataFrame, reps: DataFrame, texts: DataFrame, k: int, threshold: int,
+    level: int = 0,
+) -> DataFrame | None:
+    """Pairs across components within the buckets ``rows(key, id, n)``, of
+    sizes that allow the threshold."""
+    rows = rows.join(comp, "id", "left").select(
+        "key", "id", "n", F.coalesce("component", "id").alias("comp")
+    )
     part = rows.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("c"))
     keys = part.groupBy("key").agg(
         F.max(F.struct("c", "comp")).alias("top"), F.sum("c").alias("all"),
         F.count(F.lit(1)).alias("parts"),
     ).filter("parts > 1")
-    keys = keys.select(
-        "key", F.col("top.comp").alias("main"),
-        ((F.col("all") - F.col("top.c")) * F.col("all")).alias("cost"),
-    )
+    keys = keys.select("key", F.col("top.comp").alias("main"), ((F.col("all") - F.col("top.c")) * F.col("all")).alias("cost"))
     open_ = materialize(rows.join(keys, "key"), "open-buckets")
-    few, many = F.sum((F.col("cost") <= SPLIT_ABOVE).cast("int")), F.sum((F.col("cost") > SPLIT_ABOVE).cast("int"))
-    n_few, n_many = open_.agg(few, many).first()
+    last = level == len(LONGER)
+    n_few, n_many = open_.agg(
+        F.count(F.when(F.col("cost") <= FEW, 1)), F.count(F.when(F.col("cost") > FEW, 1))
+    ).first()
     if not n_few and not n_many:
         return None
-    last = level >= LEVELS
-    small = open_ if last else open_.filter(F.col("cost") <= SPLIT_ABOVE)
-    minor = small.filter("comp <> main").select("key", F.col("id").alias("x"), F.col("comp").alias("cx"))
-    every = small.select("key", F.col("id").alias("y"), F.col("comp").alias("cy"), "main")
+    crowd = open_.filter(F.col("cost") > FEW).select("id").distinct()
+    small = open_.withColumn("s", F.col("n"))
+    if last and n_many:
+        lone = _lone_shingles(crowd, texts, k)
+        small = open_.join(lone, "id", "left").withColumn(
+            "s", F.col("n") - F.when(F.col("cost") > FEW, F.coalesce("lone", F.lit(0))).otherwise(0)
+        )
+        small = materialize(small.filter(f"s * 100 >= n * {threshold}"), "open-buckets")
+    elif not last:
+        small = small.filter(F.col("cost") <= FEW)
+    # s: shingles that another document may share; no intersection is larger.
+    side = lambda x: [F.col(c).alias(f"{c}_{x}") for c in ("id", "comp", "n", "s")]
+    t = threshold
     pairs = (
-        minor.join(every, "key")
-        .filter("cx <> cy AND (cy = main OR x < y)")
+        small.filter("comp <> main").select("key", *side("x"))
+        .join(small.select("key", "main", *side("y")), "key")
+        .filter("comp_x <> comp_y AND (comp_y = main OR id_x < id_y)")
+        .filter(f"n_x * 100 >= n_y * {t} AND n_y * 100 >= n_x * {t}")
+        .filter(f"least(s_x, s_y) * (100 + {t}) >= (n_x + n_y) * {t}")
+        .withColumnsRenamed({"id_x": "x", "id_y": "y"})
         .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
     )
     if n_many and not last:
-        again = open_.filter(F.col("cost") > SPLIT_ABOVE).select(
-            F.col("key").alias("outer"), "id", "comp"
-        )
-        again = again.join(bands, "id").filter(F.col("key") != F.col("outer")).select(
-            F.xxhash64("outer", "key").alias("key"), "id", "comp"
-        )
-        again = materialize(_shared(again).drop("size"), "split-buckets")
-        more = _open_pairs(again, bands, level + 1)
+        longer = _longer_bands(reps.join(crowd, "id", "left_semi"), *LONGER[level])
+        again = materialize(_shared(longer).drop("size"), "longer-bands")
+        more = _open_pairs(again, comp, reps, texts, k, threshold, level + 1)
         if more is not None:
             pairs = pairs.unionByName(more).distinct()
     return pairs
@@ -273,15 +341,11 @@ def near_duplicates(
     named = sig.filter("n > 0 AND id IS NOT NULL")
     reps = named.groupBy("n", "h1", "h2").agg(F.min(F.struct("id", "regs")).alias("r"))
     reps = materialize(reps.select("n", "h1", "h2", "r.id", "r.regs"), "classes")
-    bands = _bands(reps)
-    shared = materialize(_shared(bands), "bands")
+    shared = materialize(_shared(_bands(reps)), "bands")
     pairs = materialize(_likely(_star_pairs(shared), reps, threshold), "pairs")
     links = materialize(confirmed(pairs, texts, k, threshold), "links")
     comp = materialize(connected_components(links), "components")
-    joined = shared.join(comp, "id", "left").select(
-        "key", "id", F.coalesce("component", "id").alias("comp")
-    )
-    more = _open_pairs(joined, bands)
+    more = _open_pairs(shared.drop("size"), comp, reps, texts, k, threshold)
     if more is not None:
         more = more.join(pairs, ["a", "b"], "left_anti")
         more = materialize(_likely(more, reps, threshold), "pairs")
