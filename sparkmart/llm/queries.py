@@ -153,3 +153,50 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     found = near_duplicates(docs, k=4, threshold=80)
     return found.selectExpr("id AS doc_id", "n_shingles", "component AS component_id", "kept")
+
+
+OP1_SQL = r"""
+WITH RECURSIVE m AS (
+  SELECT conv_id, turn, role, coalesce(text, '') AS text,
+         lower(trim(regexp_replace(coalesce(text, ''), '[ \t\n\x0B\f\r]+', ' ', 'g'))) AS whole,
+         list_transform(string_split(coalesce(text, ''), chr(10)), lambda x:
+           lower(trim(regexp_replace(x, '[ \t\n\x0B\f\r]+', ' ', 'g')))) AS lines
+  FROM conversations),
+p AS (
+  SELECT m.conv_id, m.turn, min(o.turn) AS parent_turn
+  FROM m JOIN m AS q ON q.conv_id = m.conv_id AND q.turn = m.turn - 1 AND q.whole <> ''
+         JOIN m AS o ON o.conv_id = m.conv_id AND o.turn < m.turn
+                    AND (o.whole = q.whole OR list_contains(o.lines, q.whole))
+  GROUP BY m.conv_id, m.turn),
+n AS (
+  SELECT m.*, p.parent_turn,
+         (SELECT count(*) FROM m AS q WHERE q.conv_id = m.conv_id AND q.whole <> ''
+            AND q.turn IN (m.turn - 1, m.turn - 2))::INTEGER AS n_quoted
+  FROM m LEFT JOIN p ON p.conv_id = m.conv_id AND p.turn = m.turn),
+t AS (
+  SELECT conv_id, turn, turn AS root_turn, 0 AS depth FROM n WHERE parent_turn IS NULL
+  UNION ALL
+  SELECT n.conv_id, n.turn, t.root_turn, t.depth + 1
+  FROM n JOIN t ON n.conv_id = t.conv_id AND n.parent_turn = t.turn)
+SELECT n.conv_id, n.turn, n.role, n.parent_turn, t.root_turn, t.depth::INTEGER AS depth,
+       row_number() OVER (PARTITION BY n.conv_id ORDER BY t.root_turn, n.turn) - 1 AS position,
+       n.n_quoted, n.n_quoted AS n_linked, n.text
+FROM n JOIN t ON n.conv_id = t.conv_id AND n.turn = t.turn
+"""
+
+
+@query("op1_quotation_linking", OP1_SQL)
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The conversations, sent as replies that quote the two turns before
+    (the table itself holds no quotes), linked and put back in order."""
+    from sparkmart.llm.quotations import link_quotations, with_quotes
+
+    return link_quotations(with_quotes(table(spark, sf_dir, "conversations")))
+
+
+@query("op2_collision_counting_knn")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sparkmart.llm.collision_ann import collision_knn
+
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return collision_knn(rows, rows.filter("vec_id % 100 = 0"), k=10)
