@@ -200,3 +200,15 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     return collision_knn(rows, rows.filter("vec_id % 100 = 0"), k=10)
+
+
+@query("op3_collinear_passages")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per pair of documents and passage that both hold."""
+    from sparkmart.llm.chaining import repeated_passages
+
+    found = repeated_passages(table(spark, sf_dir, "documents"), min_words=50, min_identity=0.8)
+    return found.selectExpr(
+        "doc AS doc_id", "other AS match_doc_id", "x0 AS start_word", "x1 AS end_word",
+        "y0 AS match_start", "y1 AS match_end", "distance", "identity",
+    )
