@@ -56,7 +56,8 @@ from sparkmart.llm.common import (
 P, R, ROWS = 7, 10, 4  # 2**P buckets, R mantissa bits, registers a band
 BUCKETS, BANDS = 1 << P, (1 << P) // ROWS
 SIGMAS = 6.0
-FEW = 256  # pairs that a bucket may give before longer bands take over
+FEW = 16  # pairs that a bucket may give before longer bands take over
+BITMAP = 1 << 23  # bits of the filter on ids whose texts are needed
 # Registers a band and bands, level by level: (1 - 0.8**r)**b is about 1e-5.
 LONGER = ((8, 64), (12, 160), (16, 400))
 _U = np.uint64
@@ -219,9 +220,38 @@ def _likely(pairs: DataFrame, reps: DataFrame, threshold: int) -> DataFrame:
     )
 
 
+def only_ids(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows of ``docs(id, text)`` whose id may be among ``ids(id)``: a
+    filter by a bitmap of ``BITMAP`` bits, whatever the number of ids, so that
+    a shuffle carries few texts that are not needed."""
+    place = F.explode(F.array(*[F.pmod(F.xxhash64(F.lit(i), "id"), F.lit(BITMAP)) for i in range(2)]))
+    words = (
+        ids.select(place.alias("p"))
+        .groupBy(F.shiftright("p", 6).alias("w"))
+        .agg(F.bit_or(F.expr("shiftleft(1L, int(p & 63))")).alias("bits"))
+        .collect()  # BITMAP / 64 rows at most
+    )
+    bitmap = np.zeros(BITMAP // 64, np.int64)
+    bitmap[[r.w for r in words]] = [r.bits for r in words]
+    data = bitmap.tobytes()
+    bound_batches(docs)
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        flags = np.unpackbits(np.frombuffer(data, np.uint8), bitorder="little").astype(bool)
+        for batch in batches:
+            at = [np.asarray(batch.column(i)) for i in (2, 3)]
+            yield batch.select([0, 1]).filter(pa.array(flags[at[0]] & flags[at[1]]))
+
+    places = [F.pmod(F.xxhash64(F.lit(i), "id"), F.lit(BITMAP)).alias(f"p{i}") for i in range(2)]
+    rows = docs.filter("id IS NOT NULL").select("id", "text", *places)
+    return rows.mapInArrow(keep, "id long, text string")
+
+
 def confirmed(pairs: DataFrame, docs: DataFrame, k: int, threshold: int) -> DataFrame:
-    """The pairs ``(a, b)`` whose full shingle sets reach the threshold.
-    ``docs(id, text)`` is shuffled once for both sides."""
+    """The pairs ``(a, b)`` whose full shingle sets reach the threshold; only
+    texts that are in some pair are shuffled."""
+    ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    docs = materialize(only_ids(docs, ids), "texts")
     left = docs.select(F.col("id").alias("a"), F.col("text").alias("t_a"))
     right = docs.select(F.col("id").alias("b"), F.col("text").alias("t_b"))
     both = pairs.join(left, "a").join(right, "b").select("a", "b", "t_a", "t_b")
@@ -254,7 +284,7 @@ def _star_pairs(shared: DataFrame) -> DataFrame:
 
 def _lone_shingles(ids: DataFrame, texts: DataFrame, k: int) -> DataFrame:
     """``(id, lone)``: how many of a document's shingles no other of ``ids`` has."""
-    rows = texts.join(ids, "id", "left_semi")
+    rows = only_ids(texts, ids).join(ids, "id", "left_semi")
     bound_batches(rows)
 
     def shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -294,16 +324,14 @@ def _open_pairs(
     ).first()
     if not n_few and not n_many:
         return None
-    crowd = open_.filter(F.col("cost") > FEW).select("id").distinct()
-    small = open_.withColumn("s", F.col("n"))
-    if last and n_many:
-        lone = _lone_shingles(crowd, texts, k)
-        small = open_.join(lone, "id", "left").withColumn(
-            "s", F.col("n") - F.when(F.col("cost") > FEW, F.coalesce("lone", F.lit(0))).otherwise(0)
+    if last:
+        ids = materialize(open_.select("id").distinct(), "crowd")
+        small = open_.join(_lone_shingles(ids, texts, k), "id", "left").withColumn(
+            "s", F.col("n") - F.coalesce("lone", F.lit(0))
         )
         small = materialize(small.filter(f"s * 100 >= n * {threshold}"), "open-buckets")
-    elif not last:
-        small = small.filter(F.col("cost") <= FEW)
+    else:
+        small = open_.filter(F.col("cost") <= FEW).withColumn("s", F.col("n"))
     # s: shingles that another document may share; no intersection is larger.
     side = lambda x: [F.col(c).alias(f"{c}_{x}") for c in ("id", "comp", "n", "s")]
     t = threshold
@@ -317,6 +345,7 @@ def _open_pairs(
         .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
     )
     if n_many and not last:
+        crowd = open_.filter(F.col("cost") > FEW).select("id").distinct()
         longer = _longer_bands(reps.join(crowd, "id", "left_semi"), *LONGER[level])
         again = materialize(_shared(longer).drop("size"), "longer-bands")
         more = _open_pairs(again, comp, reps, texts, k, threshold, level + 1)
