@@ -19,9 +19,10 @@ Groups of copies cost no pairs among themselves:
   the members of other components.  Documents of buckets where that would be
   more than ``FEW`` pairs (a passage that many documents share fills such
   buckets) are banded anew among themselves with longer bands, as many as keep the chance of a miss near 1 in 100,000.  What is
-  still crowded after that is a group of edited copies: there, shingles that
-  no other document of the group has (counted exactly) bound each pair's
-  similarity from above, which rules out copies with many edits of their own.
+  still crowded after that is a group of edited copies.  There, shingles that
+  at most three of the documents hold (counted exactly) name the pairs that
+  share one, and bound the similarity of all other pairs from above, which
+  rules out copies with many edits of their own.
 
 So every candidate pair is either compared or already connected, and the
 components are those of all confirmed links.
@@ -282,8 +283,10 @@ def _star_pairs(shared: DataFrame) -> DataFrame:
     ).distinct()
 
 
-def _lone_shingles(ids: DataFrame, texts: DataFrame, k: int) -> DataFrame:
-    """``(id, lone)``: how many of a document's shingles no other of ``ids`` has."""
+def _rare_shingles(ids: DataFrame, texts: DataFrame, k: int) -> DataFrame:
+    """``held_by``: the documents among ``ids`` that hold a shingle, for every
+    shingle that at most three of them hold.  Smallest, largest and the
+    exclusive or name them all, so that common shingles cost one small state."""
     rows = only_ids(texts, ids).join(ids, "id", "left_semi")
     bound_batches(rows)
 
@@ -297,9 +300,15 @@ def _lone_shingles(ids: DataFrame, texts: DataFrame, k: int) -> DataFrame:
                     ["h", "id"],
                 )
 
-    each = rows.select("id", "text").mapInArrow(shingles, "h long, id long")
-    once = each.groupBy("h").agg(F.min("id").alias("id"), F.max("id").alias("other"))
-    return once.filter("id = other").groupBy("id").agg(F.count(F.lit(1)).alias("lone"))
+    each = rows.select("id", "text").mapInArrow(shingles, "h long, id long").distinct()
+    low, high, mixed = F.min("id"), F.max("id"), F.bit_xor("id")
+    third = mixed.bitwiseXOR(low).bitwiseXOR(high)
+    held = (
+        F.when(F.count(F.lit(1)) == 1, F.array(low))
+        .when(F.count(F.lit(1)) == 2, F.array(low, high))
+        .when(F.count(F.lit(1)) == 3, F.array(low, third, high))
+    )
+    return each.groupBy("h").agg(held.alias("held_by")).filter("held_by IS NOT NULL").select("held_by")
 
 
 def _open_pairs(
@@ -324,15 +333,27 @@ def _open_pairs(
     ).first()
     if not n_few and not n_many:
         return None
+    shared_rare = None
     if last:
         ids = materialize(open_.select("id").distinct(), "crowd")
-        small = open_.join(_lone_shingles(ids, texts, k), "id", "left").withColumn(
-            "s", F.col("n") - F.coalesce("lone", F.lit(0))
+        rare = materialize(_rare_shingles(ids, texts, k), "rare-shingles")
+        own = rare.select(F.explode("held_by").alias("id")).groupBy("id").agg(
+            F.count(F.lit(1)).alias("rare")
         )
+        small = open_.join(own, "id", "left").withColumn("s", F.col("n") - F.coalesce("rare", F.lit(0)))
         small = materialize(small.filter(f"s * 100 >= n * {threshold}"), "open-buckets")
+        # Pairs that share a rare shingle are looked at whatever the bound says.
+        two = F.array(*[
+            F.struct(F.get("held_by", F.lit(i)).alias("a"), F.get("held_by", F.lit(j)).alias("b"))
+            for i, j in ((0, 1), (0, 2), (1, 2))
+        ])
+        shared_rare = (
+            rare.filter("size(held_by) > 1").select(F.explode(two).alias("p")).select("p.a", "p.b")
+            .filter("b IS NOT NULL").distinct()
+        )
     else:
         small = open_.filter(F.col("cost") <= FEW).withColumn("s", F.col("n"))
-    # s: shingles that another document may share; no intersection is larger.
+    # s: shingles that are not rare; an intersection without rare ones is no larger.
     side = lambda x: [F.col(c).alias(f"{c}_{x}") for c in ("id", "comp", "n", "s")]
     t = threshold
     pairs = (
@@ -344,6 +365,8 @@ def _open_pairs(
         .withColumnsRenamed({"id_x": "x", "id_y": "y"})
         .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
     )
+    if shared_rare is not None:
+        pairs = pairs.unionByName(shared_rare).distinct()
     if n_many and not last:
         crowd = open_.filter(F.col("cost") > FEW).select("id").distinct()
         longer = _longer_bands(reps.join(crowd, "id", "left_semi"), *LONGER[level])
