@@ -39,6 +39,7 @@ from sparkmart.session import scratch_path
 
 CHUNK = 1 << 20
 HEAD_LIMIT = 1 << 20
+BITMAP = 1 << 23  # bits of the filter on repeated payloads
 REVISIT = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 INDEX = (
@@ -74,7 +75,10 @@ def mark_revisits(
     id too are originals themselves.
 
     The smallest id per digest is combined map-side, so a payload that a third
-    of the pages share costs a row per task; the payloads then travel once.
+    of the pages share costs a row per task.  A bitmap of ``BITMAP`` bits over
+    the repeated digests, broadcast as at most ``BITMAP / 64`` rows, tells most
+    pages that their payload is the only one; the others' payloads are shuffled
+    to meet their original's id.
     """
     rows = pages.select(
         col(id_col).cast("long").alias("id"),
@@ -88,7 +92,19 @@ def mark_revisits(
         .filter("n > 1")
         .select("digest", "first")
     )
-    return rows.join(first, "digest", "left").select(
+    first = materialize(first, "repeated-digests")
+    place = F.pmod(F.xxhash64("digest"), F.lit(BITMAP))
+    bits = (
+        first.select(place.alias("p")).groupBy(F.shiftright("p", 6).alias("word"))
+        .agg(F.bit_or(F.expr("shiftleft(1L, int(p & 63))")).alias("bits"))
+    )
+    rows = rows.withColumn("p", place).withColumn("word", F.shiftright("p", 6))
+    rows = rows.join(F.broadcast(bits), "word", "left")
+    several = F.expr("coalesce(bits & shiftleft(1L, int(p & 63)), 0L) <> 0")
+    alone = rows.filter(~several).withColumn("first", F.lit(None).cast("long"))
+    others = rows.filter(several).join(first, "digest", "left")
+    names = ["id", "url", "payload", "digest", "first"]
+    return alone.select(names).unionByName(others.select(names)).select(
         "id", "url", "payload", "digest",
         F.when(F.col("first") != F.col("id"), F.col("first")).alias("refers_to"),
     )
