@@ -189,15 +189,29 @@ def classification_metrics_mllib(preds: DataFrame, label_col: str, pred_col: str
 
 
 def confusion_matrix(preds: DataFrame, label_col: str, pred_col: str = "prediction",
-                     classes: tuple = (0.0, 1.0)) -> DataFrame:
-    """Count by (label, prediction), pivoted; missing cells are 0."""
-    return (
-        preds.groupBy(label_col)
-        .pivot(pred_col, list(classes))
-        .agg(F.count(F.lit(1)))
-        .fillna(0)
-        .toDF(label_col, *[f"pred_{int(c)}" for c in classes])
+                     classes: tuple | None = None) -> DataFrame:
+    """Count by (label, prediction), pivoted; missing cells are 0.
+
+    Every class found in the labels or predictions has a column; ``classes``
+    adds columns for classes that may be missing from the data.  The counts
+    (classes squared rows) are aggregated before the pivot.
+    """
+    counts = preds.groupBy(
+        F.col(label_col), F.col(pred_col).cast(T.DoubleType()).alias("__pred")
+    ).agg(F.count(F.lit(1)).alias("__n")).persist()
+    found = {r[0] for r in counts.select(F.col(label_col).cast(T.DoubleType())).distinct().collect()}
+    found |= {r[0] for r in counts.select("__pred").distinct().collect()}
+    every = sorted({float(c) for c in found if c is not None} | {float(c) for c in classes or ()})
+    out = counts.groupBy(label_col).agg(
+        *[
+            F.coalesce(F.sum(F.when(F.col("__pred") == c, F.col("__n"))), F.lit(0)).cast("long")
+            .alias(f"pred_{int(c) if c.is_integer() else c}")
+            for c in every
+        ]
     )
+    rows = out.collect()  # classes rows
+    counts.unpersist()
+    return preds.sparkSession.createDataFrame(rows, out.schema)
 
 
 def csv_ready_predictions(preds: DataFrame) -> DataFrame:

@@ -23,7 +23,7 @@ from sparkmart.functions import items_text, rule_label
 
 
 def estimate_frequent_itemsets(baskets: DataFrame, items_col: str, min_support: float) -> dict:
-    """Estimate of how many itemsets FP-Growth would emit (a pre-check).
+    """Estimate of how many itemsets FP-Growth would emit (for information only).
 
     One aggregate over (item, count) — as many rows as distinct items.  With
     the frequent items' supports sorted descending (s1 ≥ s2 ≥ …), itemsets
@@ -58,22 +58,6 @@ def estimate_frequent_itemsets(baskets: DataFrame, items_col: str, min_support:
     return {"baskets": n, "frequent_items": len(sup), "max_size": k, "estimate": est}
 
 
-def check_density(baskets: DataFrame, items_col: str, min_support: float, limit: int) -> dict:
-    """Raise before mining when the estimate exceeds ``limit``.
-
-    Nothing is dropped or sampled: the caller chooses smaller baskets (per
-    order or per customer-day instead of per customer) or a higher support.
-    """
-    est = estimate_frequent_itemsets(baskets, items_col, min_support)
-    if est["estimate"] > limit:
-        raise ValueError(
-            f"baskets too dense for support {min_support}: about {est['estimate']:,} itemsets "
-            f"(up to size {est['max_size']} over {est['frequent_items']} frequent items); "
-            "use smaller baskets (order or customer-day) or a higher min_support"
-        )
-    return est
-
-
 def fp_growth(
     baskets: DataFrame,
     items_col: str = "items",
@@ -96,13 +80,12 @@ def fp_growth(
     return freq, model.associationRules
 
 
-def itemsets_as_text(freq_itemsets: DataFrame, max_size: int | None = None) -> DataFrame:
-    out = freq_itemsets.select(
+def itemsets_as_text(freq_itemsets: DataFrame) -> DataFrame:
+    return freq_itemsets.select(
         items_text(F.col("items")).alias("items"),
         F.size("items").alias("size"),
         F.col("freq"),
     )
-    return out.where(F.col("size") <= max_size) if max_size else out
 
 
 def rules_as_text(rules: DataFrame) -> DataFrame:

@@ -12,9 +12,8 @@ from sparkmart.plans import query
 from sparkmart.plans.oracle import with_domain
 
 # Order × brand baskets: about 3.8 distinct brands per order over 25 brands.
-# The rule queries report one-item antecedents (pair rules), which the SQL
-# oracle computes exactly at any scale; larger itemsets appear in small
-# samples, where support 0.01 is only a handful of baskets.
+# Itemsets and rules of every size are reported; the SQL oracle lists each
+# basket's subsets recursively (an enumeration for the check only).
 MIN_SUPPORT = 0.01
 MIN_CONFIDENCE = 0.1
 TOP_RULES = 20
@@ -50,7 +49,7 @@ def _order_brand_baskets(spark, sf_dir):
 
 
 def _mine(spark, sf_dir):
-    b = _order_brand_baskets(spark, sf_dir).persist()
+    b = _order_brand_baskets(spark, sf_dir)  # fp_growth persists what it mines
     return R.fp_growth(b, "items", MIN_SUPPORT, MIN_CONFIDENCE)
 
 
@@ -58,60 +57,74 @@ RULE_CTES = f"""
 b AS (SELECT DISTINCT l.l_orderkey AS basket, p.brand AS item
       FROM lineitem l LEFT JOIN products p ON l.l_partkey = p.product_id),
 nb AS (SELECT count(DISTINCT basket) AS n FROM b),
-i1 AS (SELECT item, count(*) AS freq FROM b WHERE item IS NOT NULL GROUP BY item
-       HAVING count(*) >= (SELECT ceil({MIN_SUPPORT} * n) FROM nb)),
-i2 AS (SELECT x.item AS a, y.item AS c, count(*) AS freq
-       FROM b x JOIN b y ON x.basket = y.basket AND x.item < y.item
-       GROUP BY x.item, y.item HAVING count(*) >= (SELECT ceil({MIN_SUPPORT} * n) FROM nb)),
-pr AS (SELECT a AS ante, c AS cons, freq FROM i2 UNION ALL SELECT c, a, freq FROM i2),
+lim AS (SELECT ceil({MIN_SUPPORT} * n) AS least FROM nb),
+i1 AS (SELECT item FROM b WHERE item IS NOT NULL GROUP BY item
+       HAVING count(*) >= (SELECT least FROM lim)),
+f AS (SELECT b.basket, b.item FROM b JOIN i1 ON b.item = i1.item),
+subsets AS (
+  SELECT basket, [item] AS items, item AS last FROM f
+  UNION ALL
+  SELECT s.basket, list_append(s.items, f.item), f.item
+  FROM subsets s JOIN f ON f.basket = s.basket AND f.item > s.last),
+itemsets AS (
+  SELECT items, count(*) AS freq FROM subsets GROUP BY items
+  HAVING count(*) >= (SELECT least FROM lim)),
+parts AS (
+  SELECT i.items, i.freq, c.cons, list_filter(i.items, lambda x: x <> c.cons) AS ante
+  FROM itemsets i, unnest(i.items) AS c(cons) WHERE len(i.items) > 1),
 rules AS (
-  SELECT pr.ante AS antecedent, pr.cons AS consequent,
-         pr.freq / fa.freq AS confidence,
-         (pr.freq / fa.freq) / (fc.freq / nb.n) AS lift,
-         pr.freq / nb.n AS support
-  FROM pr JOIN i1 fa ON fa.item = pr.ante JOIN i1 fc ON fc.item = pr.cons CROSS JOIN nb
-  WHERE pr.freq / fa.freq >= {MIN_CONFIDENCE})"""
+  SELECT array_to_string(p.ante, ', ') AS antecedent, p.cons AS consequent,
+         p.freq / fa.freq AS confidence,
+         (p.freq / fa.freq) / (fc.freq / nb.n) AS lift,
+         p.freq / nb.n AS support
+  FROM parts p JOIN itemsets fa ON fa.items = p.ante
+       JOIN itemsets fc ON fc.items = [p.cons] CROSS JOIN nb
+  WHERE p.freq / fa.freq >= {MIN_CONFIDENCE})"""
 
 
-@query(
-    "frequent_items_and_pairs",
-    with_domain(RULE_CTES)
-    + """SELECT item AS items, 1 AS size, freq FROM i1
-UNION ALL SELECT a || ', ' || c, 2, freq FROM i2""",
-)
-def frequent_items_and_pairs(spark, sf_dir):
+def _recursive(sql: str) -> str:
+    return with_domain(RULE_CTES).replace("WITH ", "WITH RECURSIVE ", 1) + sql
+
+
+ITEMSETS_SQL = _recursive("SELECT array_to_string(items, ', ') AS items, len(items)::INTEGER AS size, freq FROM itemsets")
+RULES_SQL = _recursive("SELECT antecedent, consequent, confidence, lift, support FROM rules")
+
+
+@query("frequent_itemsets", ITEMSETS_SQL)
+@query("frequent_items_and_pairs", ITEMSETS_SQL)
+def frequent_itemsets(spark, sf_dir):
+    """Itemsets of every size (the second name is the older one)."""
     freq, _ = _mine(spark, sf_dir)
-    return R.itemsets_as_text(freq, max_size=2)
+    return R.itemsets_as_text(freq)
 
 
-@query(
-    "rules_single_antecedent",
-    with_domain(RULE_CTES) + "SELECT antecedent, consequent, confidence, lift, support FROM rules",
-)
-def rules_single_antecedent(spark, sf_dir):
+@query("association_rules", RULES_SQL)
+@query("rules_single_antecedent", RULES_SQL)
+def association_rules(spark, sf_dir):
+    """Rules with antecedents of every size (the second name is the older one)."""
     _, rules = _mine(spark, sf_dir)
-    one = rules.where(F.size("antecedent") == 1)
-    return R.rules_as_text(one).drop("rule")
+    return R.rules_as_text(rules).drop("rule")
+
+
+RULE_TEXT = "'[' || antecedent || '] → [' || consequent || ']' AS rule"
 
 
 @query(
     "rules_as_text",
-    with_domain(RULE_CTES)
-    + """SELECT '[' || antecedent || '] → [' || consequent || ']' AS rule,
-       antecedent, consequent, confidence, lift, support FROM rules""",
+    _recursive(f"SELECT {RULE_TEXT}, antecedent, consequent, confidence, lift, support FROM rules"),
 )
 def rules_as_text(spark, sf_dir):
     _, rules = _mine(spark, sf_dir)
-    return R.rules_as_text(rules.where(F.size("antecedent") == 1))
+    return R.rules_as_text(rules)
 
 
 @query(
     "rules_top_lift",
-    with_domain(RULE_CTES)
-    + f"""SELECT '[' || antecedent || '] → [' || consequent || ']' AS rule,
-       antecedent, consequent, confidence, lift, support FROM rules
-ORDER BY lift DESC, antecedent, consequent LIMIT {TOP_RULES}""",
+    _recursive(
+        f"""SELECT {RULE_TEXT}, antecedent, consequent, confidence, lift, support FROM rules
+ORDER BY lift DESC, antecedent, consequent LIMIT {TOP_RULES}"""
+    ),
 )
 def rules_top_lift(spark, sf_dir):
     _, rules = _mine(spark, sf_dir)
-    return R.top_rules(R.rules_as_text(rules.where(F.size("antecedent") == 1)), TOP_RULES)
+    return R.top_rules(R.rules_as_text(rules), TOP_RULES)

@@ -9,6 +9,7 @@ fresh folder under the system temp dir.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -84,7 +85,7 @@ def object_store_conf(
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    Only a ``local[...]`` session without that setting gets a fresh temp
+    Only a ``local[...]`` session (not ``local-cluster``) without that setting gets a fresh temp
     folder (tests, laptops); on a cluster a machine-local folder would be
     invisible to other executors, so an unset setting is an error there.
     Works without a SparkContext handle (Spark Connect) from the conf alone.
@@ -98,7 +99,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
         master = sc.master if sc is not None else spark.conf.get("spark.master", "")
-        if not master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", master):
             raise RuntimeError(
                 "set spark.checkpoint.dir to a shared folder (e.g. an object-store or HDFS path)"
             )

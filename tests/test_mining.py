@@ -126,16 +126,23 @@ def test_assembler_rejects_null_by_default(spark):
     assert assembler(["a", "b"], handle_invalid="skip").transform(df).count() == 0
 
 
-def test_density_check_flags_dense_baskets(spark):
+def test_itemset_estimate_of_dense_and_sparse_baskets(spark):
     import itertools
 
     items = [f"i{k}" for k in range(30)]
     dense = spark.createDataFrame([(b, items) for b in range(50)], "b int, items array<string>")
     est = R.estimate_frequent_itemsets(dense, "items", 0.05)
     assert est["max_size"] == 30 and est["estimate"] == 2**30 - 1
-    with pytest.raises(ValueError, match="too dense"):
-        R.check_density(dense, "items", 0.05, 1_000_000)
     sparse = spark.createDataFrame(
         [(b, list(p)) for b, p in enumerate(itertools.combinations(items[:6], 2))],
         "b int, items array<string>")
-    assert R.check_density(sparse, "items", 0.05, 1_000)["max_size"] <= 2
+    assert R.estimate_frequent_itemsets(sparse, "items", 0.05)["max_size"] <= 2
+
+
+def test_confusion_matrix_counts_every_class(spark):
+    from sparkmart.mining import models as M
+
+    rows = [(1.0, 2.0), (2.0, 2.0), (2.0, 0.0), (0.0, 0.0), (1.0, 1.0)]
+    df = spark.createDataFrame(rows, "y double, prediction double")
+    got = {r["y"]: (r["pred_0"], r["pred_1"], r["pred_2"]) for r in M.confusion_matrix(df, "y").collect()}
+    assert got == {0.0: (1, 0, 0), 1.0: (0, 1, 1), 2.0: (1, 0, 1)}
