@@ -12,8 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Cap on rows per output file so one hot partition value still lands as
-# several bounded files instead of one huge one.
+# Rows per output file; a hot partition value lands as several files instead
+# of one huge one (nothing is dropped).
 MAX_RECORDS_PER_FILE = 5_000_000
 
 
@@ -43,6 +43,8 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> str:
         .write.mode(mode)
         .option("header", True)
         .option("escape", '"')
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
         .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
         .csv(path)
     )

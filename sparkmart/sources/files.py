@@ -30,35 +30,47 @@ def read_csv(
     header: bool = True,
     na_tokens: tuple[str, ...] | None = None,
     infer_schema: bool = False,
-    multi_line: bool = False,
+    multi_line: bool = True,
 ) -> DataFrame:
-    """Read CSV files or folders of part files.
+    """Read CSV files or folders of part files as they are.
 
-    Without ``na_tokens`` this is a plain typed read.  With tokens, every
-    column is read as text, the tokens become NULL, then columns are cast to
-    ``schema`` (``try_cast``: a value that does not parse becomes NULL
-    instead of failing the job).
+    Blanks at either end of a value are kept, quoted line breaks belong to
+    their value (``multi_line``; such a file is read by one task, so large
+    data should lie in many files, as :func:`sparkmart.sinks.files.write_csv`
+    leaves it), and with a header the columns of ``schema`` are found by name,
+    whatever their order; a missing one is an error.
+
+    Empty values are NULL and ``na_tokens`` become NULL.  Values that do not parse as their declared
+    type become NULL (``try_cast``) instead of failing the job.
     """
-    reader = spark.read.option("header", header).option("multiLine", multi_line).option(
-        "escape", '"'
+    reader = (
+        spark.read.option("header", header)
+        .option("multiLine", multi_line)
+        .option("escape", '"')
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
     )
-    if na_tokens is None:
-        if schema is not None:
-            return reader.schema(schema).csv(path)
-        return reader.option("inferSchema", infer_schema).csv(path)
-    if schema is not None:
-        text_schema = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
-        raw = reader.schema(text_schema).csv(path)
+    if schema is not None and not header:
+        text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
+        raw = reader.schema(text).csv(path)
     else:
-        raw = reader.csv(path)
-    tokens = list(na_tokens)
-    cleaned = [
-        F.when(F.col(c).isin(tokens), F.lit(None)).otherwise(F.col(c)).alias(c) for c in raw.columns
-    ]
-    out = raw.select(*cleaned)
-    if schema is not None:
-        out = out.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema.fields])
-    return out
+        infer = infer_schema and schema is None and na_tokens is None
+        raw = reader.option("inferSchema", infer).csv(path)
+    tokens = list(na_tokens or ())
+
+    def value(name: str):
+        c = F.col("`" + name.replace("`", "``") + "`")
+        return F.when(~c.isin(tokens), c) if tokens else c
+
+    if schema is None:
+        return raw.select(*[value(c).alias(c) for c in raw.columns])
+    kinds = {f.name: f.dataType for f in schema.fields}
+    return raw.select(
+        *[
+            (value(n) if isinstance(t, T.StringType) else value(n).try_cast(t)).alias(n)
+            for n, t in kinds.items()
+        ]
+    )
 
 
 def read_partitioned_parquet(
@@ -98,15 +110,10 @@ def snapshot_dates(spark: SparkSession, base: str, filename: str) -> list[str]:
     A ``binaryFile`` read selecting only the path lists files without opening
     them; the result is one row per date folder.
     """
-    files = (
-        spark.read.format("binaryFile")
-        .load(f"{base}/*/{filename}")
-        .select(F.regexp_extract("path", SNAPSHOT_DATE_PATTERN, 1).alias("d"))
-        .where(F.col("d") != "")
-        .distinct()
-    )
     try:
-        return sorted(r["d"] for r in files.collect())
+        files = spark.read.format("binaryFile").load(f"{base}/*/{filename}")
+        dates = files.select(F.regexp_extract("path", SNAPSHOT_DATE_PATTERN, 1).alias("d"))
+        return sorted(r["d"] for r in dates.where(F.col("d") != "").distinct().collect())
     except Exception as e:  # noqa: BLE001 - no matching folder at all
         if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
             return []

@@ -50,6 +50,27 @@ def test_csv_na_tokens_become_null(spark):
     assert plain[0]["name"] == "NA"  # Spark alone keeps the token as text
 
 
+def test_csv_text_survives_and_columns_are_found_by_name(spark, tmp_path):
+    rows = [("  a  ", 'say "hi"\nand, bye', 1), ("b", "", 2), ("c", None, 3), ("\tt", " \n ", 4)]
+    df = spark.createDataFrame(rows, "`unit.price` string, text string, n long")
+    path = write_csv(df.repartition(2), str(tmp_path / "t"))
+    back = read_csv(spark, path, schema=df.schema)
+    want = [(a, b or None, n) for a, b, n in rows]  # CSV has no empty text apart from NULL
+    assert sorted(map(tuple, back.collect()), key=lambda r: r[2]) == want
+    (tmp_path / "o.csv").write_text('b,a\n1,"x\ny"\n')
+    got = read_csv(spark, str(tmp_path / "o.csv"), 
+                   schema=spark.createDataFrame([], "a string, b int").schema).collect()
+    assert [tuple(r) for r in got] == [("x\ny", 1)]
+
+
+def test_no_snapshot_folder(spark, tmp_path):
+    from sparkmart.sources.files import read_latest_snapshot, snapshot_dates
+
+    assert snapshot_dates(spark, str(tmp_path / "none"), "x.csv") == []
+    with pytest.raises(FileNotFoundError):
+        read_latest_snapshot(spark, str(tmp_path / "none"), "x.csv")
+
+
 def test_csv_round_trip_and_array_vector_safety(spark):
     df = spark.createDataFrame(
         [(1, ["a", "b, c"], Vectors.dense([1.0, 2.0]))],
