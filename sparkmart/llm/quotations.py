@@ -198,19 +198,21 @@ def thread_roots(messages: DataFrame, parents: DataFrame) -> DataFrame:
             F.col("parent_turn").isNotNull().cast("int").alias("depth"),
         )
     )
+    nodes = materialize(nodes, "threads")
     while True:
-        nodes = materialize(nodes, "threads")
         up = nodes.filter("depth > 0").select(
             "conv_id", F.col("turn").alias("root_turn"), F.col("root_turn").alias("__up"),
             F.col("depth").alias("__more"),
         )
-        step = nodes.join(up, ["conv_id", "root_turn"], "left")
-        if step.filter("__more IS NOT NULL").isEmpty():
-            return nodes
-        nodes = step.select(
+        step = nodes.join(up, ["conv_id", "root_turn"], "left").select(
             "conv_id", "turn", "parent_turn", F.coalesce("__up", "root_turn").alias("root_turn"),
             (F.col("depth") + F.coalesce("__more", F.lit(0))).alias("depth"),
+            F.col("__more").isNotNull().alias("__moved"),
         )
+        step = materialize(step, "threads")  # the join runs once; both reads below are of files
+        nodes = step.drop("__moved")
+        if step.filter("__moved").isEmpty():
+            return nodes
 
 
 def with_quotes(messages: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", text_col: str = "text") -> DataFrame:
