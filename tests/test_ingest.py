@@ -14,7 +14,7 @@ from sparkmart.sources.files import read_audit_log, read_snapshots
 
 def test_three_statuses_and_landing(spark):
     d = tempfile.mkdtemp(prefix="sparkmart-ingest-")
-    good = spark.createDataFrame([(1, "Andi", "Malang"), (2, "Budi", "Blitar")],
+    good = spark.createDataFrame([(1, "Ottla", "Kolding"), (2, "Brisa", "Aveiro")],
                                  "`Customer ID` int, `Customer Name` string, City string")
     sparse = spark.createDataFrame([(1, None, None), (2, None, "x")], "a int, b string, c string")
     write_csv(good, f"{d}/in/good")
@@ -51,7 +51,7 @@ def test_cli_and_storage_settings(spark, tmp_path):
     (tmp_path / "storage.yaml").write_text('endpoint: "localhost:9000"\nbucket: "datalake"\nsecure: false\n')
     st = load_storage(str(tmp_path / "storage.yaml"))
     assert st.base_uri == "s3a://datalake" and st.endpoint == "localhost:9000" and not st.secure
-    (tmp_path / "c.csv").write_text("Customer ID,Name\n1,Andi\n2,Budi\n")
+    (tmp_path / "c.csv").write_text("Customer ID,Name\n1,Ottla\n2,Brisa\n")
     (tmp_path / "sources.yaml").write_text(
         f"files:\n  - {{name: c, source_type: csv, path: {tmp_path}/c.csv, target: raw/csv/c/c.csv}}\n"
     )

@@ -1,120 +1,94 @@
-"""Quality checks (V1–V5): the original validator's ten cases plus edge cases."""
+"""Quality checks (V1–V5): one table of frames with the exact report each gives."""
 
 from __future__ import annotations
 
 import math
+from collections import Counter
 
-from sparkmart.operators.quality import quality_summary, validate, validate_dataframe
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 
+from sparkmart.operators import quality as Q
 
-def df(spark, rows, schema):
-    return spark.createDataFrame(rows, schema)
+NAN = float("nan")
+PARCELS = "parcel long, weight double, depot string"
 
 
-def test_empty_frame_rejected(spark):
-    empty = spark.createDataFrame([], "struct<>")
-    messages, is_valid = validate_dataframe(empty, "test")
-    assert not is_valid
-    assert any("[ERROR]" in m for m in messages)
+def empty(name):
+    return Q.MSG_EMPTY.format(name=name)
 
 
-def test_duplicates_warn(spark):
-    messages, _ = validate_dataframe(df(spark, [(1, "x"), (1, "x")], "a int, b string"), "test")
-    assert any("duplikat" in m for m in messages)
+def copies(name, n):
+    return Q.MSG_DUPLICATES.format(name=name, n=n)
 
 
-def test_duplicates_do_not_reject(spark):
-    _, is_valid = validate_dataframe(df(spark, [(1, "x"), (1, "x")], "a int, b string"), "test")
-    assert is_valid
+def gaps(name, *columns):
+    return Q.MSG_NULL_COLUMNS.format(name=name, columns=", ".join(columns))
 
 
-def test_nulls_warn(spark):
-    messages, _ = validate_dataframe(df(spark, [(1.0, "x"), (None, "y")], "a double, b string"), "test")
-    assert any("null" in m.lower() for m in messages)
+def refused(name, ratio, threshold):
+    return Q.MSG_NULL_RATIO.format(name=name, ratio=ratio, threshold=threshold)
 
 
-def test_few_nulls_do_not_reject(spark):
-    # 1 null of 4 cells = 25 % < 30 %
-    _, is_valid = validate_dataframe(df(spark, [(1.0, "x"), (None, "y")], "a double, b string"), "test")
-    assert is_valid
+# (schema, rows, threshold, messages, accepted)
+REPORTS = {
+    "no columns": ("struct<>", [], 0.3, [empty("depot")], False),
+    "columns without rows": (PARCELS, [], 0.3, [empty("depot")], False),
+    "nothing to say": (PARCELS, [(4, 0.5, "N"), (5, 0.5, "N")], 0.0, [], True),
+    "a row three times": (PARCELS, [(4, 1.5, "N")] * 3 + [(9, 1.5, "N")], 0.3, [copies("depot", 2)], True),
+    "null rows repeat too": (
+        PARCELS, [(1, 2.0, "S")] * 2 + [(None, None, None)] * 2 + [(n, 1.0, "E") for n in range(6)], 0.3,
+        [copies("depot", 2), gaps("depot", "parcel", "weight", "depot")], True,
+    ),
+    "at the threshold": (
+        "a long, b string", [(None, "q"), (None, "r"), (None, "s"), (7, "t"), (8, "u")], 0.3,
+        [gaps("depot", "a")], True,
+    ),
+    "above a lower threshold": (
+        "a long, b string", [(None, "q"), (None, "r"), (None, "s"), (7, "t"), (8, "u")], 0.25,
+        [gaps("depot", "a"), refused("depot", 0.3, 0.25)], False,
+    ),
+    "not a number is missing": (
+        PARCELS, [(1, NAN, "N"), (2, NAN, None)], 0.4,
+        [gaps("depot", "weight", "depot"), refused("depot", 0.5, 0.4)], False,
+    ),
+    "all three messages in order": (
+        "a long, b string", [(None, "q"), (None, "q"), (3, None)], 0.3,
+        [copies("depot", 1), gaps("depot", "a", "b"), refused("depot", 0.5, 0.3)], False,
+    ),
+}
 
 
-def test_many_nulls_rejected(spark):
-    messages, is_valid = validate_dataframe(
-        df(spark, [(None, "x"), (None, "y")], "a string, b string"), "test"
-    )
-    assert not is_valid
-    assert any("[ERROR]" in m for m in messages)
-
-
-def test_custom_threshold_over(spark):
-    _, is_valid = validate_dataframe(
-        df(spark, [(1.0, "x"), (None, "y")], "a double, b string"), "test", null_threshold=0.1
-    )
-    assert not is_valid
-
-
-def test_custom_threshold_zero_without_nulls(spark):
-    # 0 > 0 is false: a clean frame passes even a zero threshold
-    _, is_valid = validate_dataframe(
-        df(spark, [(1, "x"), (2, "y")], "a int, b string"), "test", null_threshold=0.0
-    )
-    assert is_valid
+@pytest.mark.parametrize("case", REPORTS)
+def test_report(spark, case):
+    schema, rows, threshold, messages, accepted = REPORTS[case]
+    frame = spark.createDataFrame(rows, schema)
+    assert Q.validate_dataframe(frame, "depot", threshold) == (messages, accepted)
+    report = Q.validate(frame, "depot", threshold)
+    assert report.n_rows == len(rows) and report.as_tuple() == (messages, accepted)
 
 
-def test_clean_frame(spark):
-    messages, is_valid = validate_dataframe(
-        df(spark, [(1, "x"), (2, "y"), (3, "z")], "a int, b string"), "test"
+@given(
+    st.lists(
+        st.tuples(st.sampled_from([None, 1, 2]), st.sampled_from([None, 0.0, -0.0, NAN]), st.sampled_from([None, "", "z"])),
+        min_size=1, max_size=12,
     )
-    assert is_valid and messages == []
-
-
-def test_result_shape(spark):
-    result = validate_dataframe(df(spark, [(1,)], "a int"), "test")
-    assert isinstance(result, tuple) and isinstance(result[0], list) and isinstance(result[1], bool)
-
-
-# ---- beyond the original ten
-def test_columns_but_no_rows(spark):
-    messages, is_valid = validate_dataframe(spark.createDataFrame([], "a int"), "t")
-    assert not is_valid and messages == ["[ERROR] t: dataframe kosong."]
-
-
-def test_ratio_exactly_at_threshold_is_valid(spark):
-    # 3 nulls of 10 cells = 0.3, and the gate is strict
-    rows = [(None, "a"), (None, "b"), (None, "c"), (1, "d"), (2, "e")]
-    rep = validate(df(spark, rows, "a int, b string"), "t", 0.3)
-    assert math.isclose(rep.null_ratio, 0.3) and rep.is_valid
-
-
-def test_nan_counts_as_null(spark):
-    rep = validate(df(spark, [(float("nan"), "x"), (1.0, "y")], "a double, b string"), "t")
-    assert rep.null_counts == [1, 0]
-
-
-def test_null_rows_are_duplicates_of_each_other(spark):
-    s = quality_summary(df(spark, [(None, None), (None, None), (1, "x")], "a int, b string")).first()
-    assert s["n_rows"] == 3 and s["duplicate_rows"] == 1
-
-
-def test_message_order_and_texts(spark):
-    rows = [(None, "x"), (None, "x")]
-    rep = validate(df(spark, rows, "a int, b string"), "src")
-    assert rep.messages == [
-        "[WARNING] src: terdapat 1 baris duplikat.",
-        "[WARNING] src: kolom dengan null -> a",
-        "[ERROR] src: rasio null 50.0% melewati batas 30.0% — data ditolak.",
-    ]
-    assert not rep.is_valid
-
+)
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+def test_counts_equal_plain_counting(spark, rows):
+    def plain(v):
+        return "NaN" if v != v else v + 0.0 if isinstance(v, float) else v
 
-def test_signed_zero_and_nan_rows_are_duplicates(spark):
-    rows = [(0.0, "x"), (-0.0, "x"), (float("nan"), "y"), (float("nan"), "y"), (1.0, "z")]
-    s = quality_summary(df(spark, rows, "a double, b string")).first()
-    assert s["n_rows"] == 5 and s["duplicate_rows"] == 2
+    report = Q.validate(spark.createDataFrame(rows, PARCELS), "any")
+    missing = [sum(r[i] is None or r[i] != r[i] for r in rows) for i in range(3)]
+    assert report.null_counts == missing
+    assert math.isclose(report.null_ratio, sum(missing) / (3 * len(rows)))
+    seen = Counter(tuple(map(plain, r)) for r in rows)
+    assert report.duplicate_rows == sum(n - 1 for n in seen.values())
 
 
-def test_nested_columns_are_compared_by_value(spark):
+def test_nested_values_are_compared(spark):
     rows = [({"k": 1}, [1, 2]), ({"k": 1}, [1, 2]), ({"k": 2}, None)]
-    s = quality_summary(spark.createDataFrame(rows, "m map<string,int>, a array<int>")).first()
+    s = Q.quality_summary(spark.createDataFrame(rows, "m map<string,int>, a array<int>")).first()
     assert (s["n_rows"], s["duplicate_rows"]) == (3, 1)
