@@ -6,6 +6,7 @@ from pyspark.ml.feature import StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sparkmart.functions import hash_fraction, round_half_up
 
@@ -49,7 +50,10 @@ def hash_split(df: DataFrame, key: str, test_ratio: float) -> tuple[DataFrame, D
     Unlike ``randomSplit``, membership does not depend on partitioning or
     row order, so every run and every engine picks the same rows.
     """
-    is_test = hash_fraction(F.col(key)) < F.lit(test_ratio)
+    number = F.col(key)
+    if isinstance(df.schema[key].dataType, T.StringType):  # text keys by their hash
+        number = F.xxhash64(key)
+    is_test = hash_fraction(number) < F.lit(test_ratio)
     return df.where(~is_test), df.where(is_test)
 
 

@@ -15,6 +15,10 @@ distributed aggregate whose result is bounded by ``bins`` rows:
    (a hot value costs one pass, whatever its share of rows);
 3. a band of at most ``small`` rows is finished with a bounded top-k.
 
+Infinite values are counted and set aside like NaN (which sorts last), the
+bucket is computed from halved doubles so that no range overflows, and a pass
+that does not shrink the band is an error instead of an endless loop.
+
 Persist the input first: each pass is a job over it.
 """
 
@@ -26,8 +30,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sparkmart.functions import hist_bin
-
 
 def quantile_disc(
     df: DataFrame, col: str, q: float, bins: int = 1024, small: int = 50_000
@@ -37,13 +39,19 @@ def quantile_disc(
     x = F.col(col)
     floating = isinstance(df.schema[col].dataType, (T.FloatType, T.DoubleType))
     values = df.select(x.alias("v")).where(F.col("v").isNotNull())
-    # NaN sorts above every number (as in SQL): count it, refine over the rest
+    # NaN sorts above every number (as in SQL); refine over the finite rest
+    inf = float("inf")
     nan = F.isnan("v") if floating else F.lit(False)
+    top = (F.col("v") == inf) & ~nan if floating else F.lit(False)
+    bottom = F.col("v") == -inf if floating else F.lit(False)
+    finite = ~nan & ~top & ~bottom
     stats = values.agg(
         F.count("v").alias("n"),
         F.count_if(nan).alias("nan"),
-        F.min(F.when(~nan, F.col("v"))).alias("lo"),
-        F.max(F.when(~nan, F.col("v"))).alias("hi"),
+        F.count_if(top).alias("top"),
+        F.count_if(bottom).alias("bottom"),
+        F.min(F.when(finite, F.col("v"))).alias("lo"),
+        F.max(F.when(finite, F.col("v"))).alias("hi"),
     ).first()
     n, lo, hi = stats["n"], stats["lo"], stats["hi"]
     if n == 0:
@@ -51,10 +59,15 @@ def quantile_disc(
     k = max(1, math.ceil(q * n))  # 1-based rank wanted
     if k > n - stats["nan"]:
         return float("nan")
+    if k > n - stats["nan"] - stats["top"]:
+        return inf
+    if k <= stats["bottom"]:
+        return -inf
+    k -= stats["bottom"]
     if floating:
-        values = values.where(~F.isnan("v"))
+        values = values.where(finite)
     below = 0  # rows strictly below the band
-    band_n = n - stats["nan"]
+    band_n = n - stats["nan"] - stats["top"] - stats["bottom"]
     while True:
         if lo == hi:
             return lo
@@ -63,11 +76,18 @@ def quantile_disc(
             row = band.orderBy("v").offset(k - below - 1).limit(1).first()
             return row["v"]
         buckets = (
-            band.select(hist_bin(F.col("v"), F.lit(lo), F.lit(hi), bins).alias("b"), "v")
+            band.select(_bucket(F.col("v"), lo, hi, bins).alias("b"), "v")
             .groupBy("b")
             .agg(F.count("v").alias("c"), F.min("v").alias("lo"), F.max("v").alias("hi"))
             .collect()  # at most `bins` rows
         )
+        if len(buckets) == 1:  # values too close for doubles to tell apart
+            near = band.groupBy("v").count().orderBy("v").limit(4096).collect()
+            for r in near:
+                if below + r["count"] >= k:
+                    return r["v"]
+                below += r["count"]
+            raise ArithmeticError(f"the band [{lo}, {hi}] of {col} cannot be narrowed")
         buckets.sort(key=lambda r: r["b"])
         for r in buckets:
             if below + r["c"] >= k:
@@ -76,6 +96,15 @@ def quantile_disc(
             below += r["c"]
 
 
+def _bucket(x, lo, hi, bins: int):
+    """Equal-width bucket of ``x`` in ``[lo, hi]``, monotone in ``x``.  Halving
+    before subtracting keeps any range within doubles."""
+    half = lambda c: c.cast(T.DoubleType()) / 2
+    low, high = half(F.lit(lo)), half(F.lit(hi))
+    share = F.when(high > low, (half(x) - low) / (high - low)).otherwise(0.0)
+    return F.least(F.floor(share * bins), F.lit(bins - 1)).cast(T.IntegerType())
+
+
 def approx_quantile(df: DataFrame, col: str, q: float, rel_error: float = 0.01) -> float | None:
     """The reference's estimator: Greenwald-Khanna sketch, merged per partition."""
     got = df.approxQuantile(col, [q], rel_error)

@@ -109,9 +109,19 @@ def parse_first_sheet(content: bytes) -> list[list[object]]:
 
 
 def _to_frame(rows: list[list[object]], schema: T.StructType) -> pd.DataFrame:
+    """Columns by the workbook's own header; one that ``schema`` lacks is an
+    error, one that the workbook lacks is NULL."""
     names = [f.name for f in schema.fields]
-    body = [r + [None] * (len(names) - len(r)) for r in rows[1:]]
-    pdf = pd.DataFrame([r[: len(names)] for r in body], columns=names)
+    header = [str(h).strip() for h in rows[0]] if rows else []
+    unknown = [h for h in header if h not in names]
+    if unknown:
+        raise ValueError(f"workbook columns {unknown} are not among {names}")
+    place = {h: i for i, h in enumerate(header)}
+    body = [
+        [r[place[n]] if n in place and place[n] < len(r) else None for n in names]
+        for r in rows[1:]
+    ]
+    pdf = pd.DataFrame(body, columns=names, dtype=object)
     for f in schema.fields:
         if isinstance(f.dataType, T.StringType):
             pdf[f.name] = pdf[f.name].map(lambda x: None if x is None else str(x))
@@ -131,7 +141,10 @@ def header_of(spark: SparkSession, path: str) -> list[str]:
     first = spark.read.format("binaryFile").load(path).select("content").limit(1).first()
     if first is None:
         raise FileNotFoundError(path)
-    return [str(h) for h in parse_first_sheet(bytes(first["content"]))[0]]
+    rows = parse_first_sheet(bytes(first["content"]))
+    if not rows:
+        raise ValueError(f"{path}: the first sheet is empty")
+    return [str(h).strip() for h in rows[0]]
 
 
 def read_xlsx(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:

@@ -60,3 +60,18 @@ def test_nan_sorts_above_numbers(spark):
     assert math.isnan(quantile_disc(df, "x", 0.8))  # 4th of 5 is NaN
     sql = df.selectExpr("percentile_disc(0.5) WITHIN GROUP (ORDER BY x) AS m").first()["m"]
     assert sql == 3.0
+
+
+def test_infinite_wide_and_close_values(spark):
+    inf = float("inf")
+    doubles = [-inf] * 3 + [float(i) for i in range(90)] + [1e308, -1e308] + [inf] * 4 + [float("nan")]
+    df = spark.createDataFrame([(v,) for v in doubles], "v double").repartition(3)
+    ranked = sorted(doubles[:-1]) + doubles[-1:]
+    for q in (0.0, 0.02, 0.04, 0.3, 0.5, 0.9, 0.97, 0.98):
+        want = ranked[max(1, math.ceil(q * len(doubles))) - 1]
+        assert quantile_disc(df, "v", q, bins=4, small=3) == want
+    longs = [-(2**62), 2**62, 2**62 + 1, 2**62 + 2, 2**62 + 3, 5, 6, 7]
+    df = spark.createDataFrame([(v,) for v in longs], "v long")
+    for q in (0.1, 0.4, 0.6, 0.8, 1.0):
+        want = sorted(longs)[max(1, math.ceil(q * len(longs))) - 1]
+        assert quantile_disc(df, "v", q, bins=4, small=1) == want
