@@ -39,7 +39,7 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def bound_batches(df: DataFrame, limit: int = 16 << 20) -> None:
+def bound_batches(df: DataFrame, limit: int = 8 << 20) -> None:
     """Keep the Arrow batches sent to Python tasks within ``limit`` bytes (one
     row at least), unless the session already has a smaller limit."""
     key = "spark.sql.execution.arrow.maxBytesPerBatch"

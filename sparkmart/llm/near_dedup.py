@@ -166,20 +166,25 @@ def _longer_bands(reps: DataFrame, rows: int, bands: int) -> DataFrame:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            regs = unpacked(batch.column(2).flatten().to_numpy().reshape(-1, BANDS))
-            with np.errstate(over="ignore"):
-                h = np.broadcast_to(salt, (len(regs), bands))
-                some = np.zeros((len(regs), bands), bool)
-                for j in range(rows):
-                    part = regs[:, chosen[:, j]]
-                    some |= part != 0
-                    h = splitmix(h + part.astype(np.uint64) + _U(1))
-            owner, band = np.nonzero(some)
-            at = pa.array(owner)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(h[owner, band].view(np.int64)), batch.column(0).take(at), batch.column(1).take(at)],
-                ["key", "id", "n"],
-            )
+            step = max(1, (1 << 18) // bands)  # rows whose keys are made at a time
+            for i in range(0, batch.num_rows, step):
+                yield from some_keys(batch.slice(i, step))
+
+    def some_keys(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        regs = unpacked(batch.column(2).flatten().to_numpy().reshape(-1, BANDS))
+        with np.errstate(over="ignore"):
+            h = np.broadcast_to(salt, (len(regs), bands))
+            some = np.zeros((len(regs), bands), bool)
+            for j in range(rows):
+                part = regs[:, chosen[:, j]]
+                some |= part != 0
+                h = splitmix(h + part.astype(np.uint64) + _U(1))
+        owner, band = np.nonzero(some)
+        at = pa.array(owner)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(h[owner, band].view(np.int64)), batch.column(0).take(at), batch.column(1).take(at)],
+            ["key", "id", "n"],
+        )
 
     return reps.select("id", "n", "regs").mapInArrow(keys, "key long, id long, n long")
 
