@@ -25,7 +25,8 @@ def stream_ingest_customers(spark, sf_dir):
     target = "raw/stream/customers/customers.csv"
     q = ingest_landing_stream(
         spark, f"{landing}/*", c.schema, "customers_stream", "csv", target,
-        lake, f"{lake}/logs/ingestion_log", max_files_per_trigger=2,
+        lake, f"{lake}/logs/ingestion_log", scratch_path(spark, "stream-checkpoint"),
+        max_files_per_trigger=2,
     )
     q.awaitTermination()
     raw = read_csv(spark, f"{lake}/{target.rsplit('/', 1)[0]}/*/customers.csv/*",

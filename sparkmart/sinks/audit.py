@@ -34,13 +34,14 @@ def audit_frame(spark: SparkSession, rows: list[AuditRow]) -> DataFrame:
     return spark.createDataFrame([astuple(r) for r in rows], AUDIT_SCHEMA)
 
 
-def append_audit(spark: SparkSession, rows: list[AuditRow], path: str) -> None:
+def append_audit(spark: SparkSession, rows: list[AuditRow], path: str, mode: str = "append") -> None:
+    """``mode="overwrite"`` on a path of its own makes a retried append safe."""
     if not rows:
         return
     (
         audit_frame(spark, rows)
         .coalesce(1)
-        .write.mode("append")
+        .write.mode(mode)
         .option("header", True)
         .option("escape", '"')
         .csv(path)

@@ -171,5 +171,7 @@ AUDIT_SCHEMA = T.StructType(
 
 
 def read_audit_log(spark: SparkSession, path: str) -> DataFrame:
-    """The audit log; notes may span lines and hold doubled quotes."""
-    return read_csv(spark, path, schema=AUDIT_SCHEMA, multi_line=True)
+    """The audit log with its subfolders (a stream's batches have one each);
+    notes may span lines and hold doubled quotes."""
+    reader = spark.read.option("header", True).option("multiLine", True).option("escape", '"')
+    return reader.option("recursiveFileLookup", True).schema(AUDIT_SCHEMA).csv(path)

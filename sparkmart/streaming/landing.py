@@ -6,9 +6,11 @@ Streaming query: the file source tracks which files were already taken (in
 the checkpoint), and each micro-batch is validated, standardised, written to
 the dated raw zone and audited inside ``foreachBatch``.
 
-Restart safety: the checkpoint lives under the shared checkpoint folder; a
-micro-batch that is retried after a failure rewrites its own output folder
-``batch_id=<n>`` (overwrite), so a retry never duplicates rows.
+Restart safety: a batch's clock is that of its first attempt, kept beside the
+checkpoint, so a retry (even on another day) rewrites the same dated folder
+``batch_id=<n>`` and the same audit file.  A batch that fails leaves a FAILED
+audit row, which its successful retry replaces.  The checkpoint is the
+caller's: a restart with another one takes all files again.
 """
 
 from __future__ import annotations
@@ -23,8 +25,7 @@ from pyspark.sql.streaming import StreamingQuery
 from sparkmart.ingest import raw_target
 from sparkmart.operators.quality import DEFAULT_NULL_THRESHOLD, validate
 from sparkmart.operators.standardize import standardize_columns
-from sparkmart.session import scratch_path
-from sparkmart.sinks.audit import STATUS_REJECTED, STATUS_SUCCESS, AuditRow, append_audit
+from sparkmart.sinks.audit import STATUS_FAILED, STATUS_REJECTED, STATUS_SUCCESS, AuditRow, append_audit
 from sparkmart.sinks.files import write_csv
 
 
@@ -37,7 +38,7 @@ def ingest_landing_stream(
     target: str,
     raw_base: str,
     audit_path: str,
-    checkpoint: str | None = None,
+    checkpoint: str,
     null_threshold: float = DEFAULT_NULL_THRESHOLD,
     available_now: bool = True,
     max_files_per_trigger: int | None = None,
@@ -49,9 +50,18 @@ def ingest_landing_stream(
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     files = reader.csv(landing_dir)
 
+    def first_attempt(batch_id: int) -> datetime:
+        path = f"{checkpoint.rstrip('/')}-clocks/{batch_id}"
+        now = datetime.now(timezone.utc).isoformat()
+        # "ignore": a folder that an earlier attempt wrote stays as it is
+        spark.createDataFrame([(now,)], "clock string").coalesce(1).write.mode("ignore").json(path)
+        row = spark.read.schema("clock string").json(path).first()
+        return datetime.fromisoformat(row["clock"] if row else now)
+
     def process(batch: DataFrame, batch_id: int) -> None:
-        clock = datetime.now(timezone.utc)
+        clock = first_attempt(batch_id)
         stamp = clock.isoformat()
+        audit = f"{audit_path.rstrip('/')}/{name}-batch-{batch_id}"
         data = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             report = validate(data, name, null_threshold)
@@ -65,13 +75,17 @@ def ingest_landing_stream(
                 write_csv(out, f"{dated}/batch_id={batch_id}")
                 notes = " | ".join(report.messages) if report.messages else "OK"
                 row = AuditRow(stamp, name, source_type, report.n_rows, STATUS_SUCCESS, notes)
-            append_audit(spark, [row], audit_path)
+            append_audit(spark, [row], audit, mode="overwrite")
+        except Exception as e:
+            failed = AuditRow(stamp, name, source_type, 0, STATUS_FAILED, str(e)[:500])
+            append_audit(spark, [failed], audit, mode="overwrite")
+            raise
         finally:
             data.unpersist()
 
     writer = (
         files.writeStream.foreachBatch(process)
-        .option("checkpointLocation", checkpoint or scratch_path(spark, f"stream-{name}"))
+        .option("checkpointLocation", checkpoint)
         .queryName(f"ingest_{name}")
     )
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(

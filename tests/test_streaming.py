@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 
+import pytest
+
 from sparkmart.sinks.files import write_csv
 from sparkmart.sources.files import read_audit_log, read_csv
 from sparkmart.streaming.landing import ingest_landing_stream
@@ -34,3 +36,44 @@ def test_incremental_batches_survive_restart(spark):
     assert sorted(r["customer_id"] for r in landed.collect()) == ["1", "2", "3"]
     log = sorted((r["rows"], r["status"]) for r in read_audit_log(spark, f"{d}/lake/log").collect())
     assert log == [(0, "REJECTED"), (1, "SUCCESS"), (2, "SUCCESS")]
+
+
+def test_a_batch_retried_on_another_day_lands_once(spark, tmp_path, monkeypatch):
+    from datetime import datetime, timezone
+
+    from sparkmart.streaming import landing as L
+
+    class Clock(datetime):
+        day = 1
+
+        @classmethod
+        def now(cls, tz=None):
+            return datetime(2030, 1, cls.day, 23, 59, tzinfo=timezone.utc)
+
+    monkeypatch.setattr(L, "datetime", Clock)
+    rows = spark.createDataFrame([(1, "a"), (2, "b")], "id int, name string")
+    write_csv(rows, f"{tmp_path}/landing/one")
+
+    def run():
+        q = L.ingest_landing_stream(spark, f"{tmp_path}/landing/*", rows.schema, "c", "csv", "raw/c/c.csv",
+                                    f"{tmp_path}/lake", f"{tmp_path}/log", checkpoint=f"{tmp_path}/ckpt")
+        q.awaitTermination()
+
+    real, fails = L.append_audit, [True]
+
+    def failing(spark, audit_rows, path, mode="append"):
+        if fails and audit_rows[0].status == "SUCCESS":
+            fails.clear()
+            raise RuntimeError("lost after the write")
+        real(spark, audit_rows, path, mode)
+
+    monkeypatch.setattr(L, "append_audit", failing)
+    with pytest.raises(Exception, match="lost after the write"):
+        run()
+    assert [r["status"] for r in read_audit_log(spark, f"{tmp_path}/log").collect()] == ["FAILED"]
+    Clock.day = 2
+    run()
+    landed = read_csv(spark, f"{tmp_path}/lake/raw/c/*/c.csv/*").collect()
+    assert sorted(r["id"] for r in landed) == ["1", "2"]
+    log = read_audit_log(spark, f"{tmp_path}/log").collect()
+    assert [(r["rows"], r["status"]) for r in log] == [(2, "SUCCESS")]
