@@ -16,12 +16,13 @@ Groups of copies cost no pairs among themselves:
   sits in the fullest buckets (the likely origin of the copies);
 * then only buckets whose members are still in several components are looked
   at again, pairing every member outside the bucket's largest component with
-  the members of other components.  Documents of buckets where that would be
-  more than ``FEW`` pairs (a passage that many documents share fills such
-  buckets) are banded anew among themselves with longer bands, as many as keep the chance of a miss near 1 in 100,000.  What is
-  still crowded after that is a group of edited copies.  There, shingles that
-  at most three of the documents hold (counted exactly) name the pairs that
-  share one, and bound the similarity of all other pairs from above, which
+  the members of other components.  The documents of buckets where that would
+  be more than ``FEW`` pairs (a passage that many documents share, or a group
+  of edited copies, fills such buckets) are joined among themselves without
+  bands and without a chance of a miss: each set is put in the order of how
+  many of these documents hold a shingle, the rarest first.  Sets that reach
+  the threshold share a shingle among the first ``n - threshold * n + 1``, and
+  the places of the first one they share bound their intersection, which
   rules out copies with many edits of their own.
 
 So every candidate pair is either compared or already connected, and the
@@ -41,7 +42,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparkmart.llm.common import (
@@ -57,10 +58,8 @@ from sparkmart.llm.common import (
 P, R, ROWS = 7, 10, 4  # 2**P buckets, R mantissa bits, registers a band
 BUCKETS, BANDS = 1 << P, (1 << P) // ROWS
 SIGMAS = 6.0
-FEW = 16  # pairs that a bucket may give before longer bands take over
+FEW = 16  # pairs that a bucket may give before the prefix join takes over
 BITMAP = 1 << 23  # bits of the filter on ids whose texts are needed
-# Registers a band and bands, level by level: (1 - 0.8**r)**b is about 1e-5.
-LONGER = ((8, 64), (12, 160), (16, 400))
 _U = np.uint64
 _STARTS = np.arange(BUCKETS, dtype=np.uint64) << _U(64 - P)
 
@@ -154,41 +153,6 @@ def _bands(reps: DataFrame) -> DataFrame:
     )
 
 
-def _longer_bands(reps: DataFrame, rows: int, bands: int) -> DataFrame:
-    """``(key, id, n)`` for bands of ``rows`` registers chosen at random (but
-    the same for every document)."""
-    chosen = np.stack(
-        [np.random.default_rng([rows, i]).permutation(BUCKETS)[:rows] for i in range(bands)]
-    )
-    salt = splitmix(np.arange(1, bands + 1, dtype=np.uint64))
-
-    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            step = max(1, (1 << 18) // bands)  # rows whose keys are made at a time
-            for i in range(0, batch.num_rows, step):
-                yield from some_keys(batch.slice(i, step))
-
-    def some_keys(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        regs = unpacked(batch.column(2).flatten().to_numpy().reshape(-1, BANDS))
-        with np.errstate(over="ignore"):
-            h = np.broadcast_to(salt, (len(regs), bands))
-            some = np.zeros((len(regs), bands), bool)
-            for j in range(rows):
-                part = regs[:, chosen[:, j]]
-                some |= part != 0
-                h = splitmix(h + part.astype(np.uint64) + _U(1))
-        owner, band = np.nonzero(some)
-        at = pa.array(owner)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(h[owner, band].view(np.int64)), batch.column(0).take(at), batch.column(1).take(at)],
-            ["key", "id", "n"],
-        )
-
-    return reps.select("id", "n", "regs").mapInArrow(keys, "key long, id long, n long")
-
-
 def _shared(rows: DataFrame) -> DataFrame:
     """The rows whose ``key`` has several, with the number as ``size``.  The
     counts are combined map-side; a hot key then meets one row in the join."""
@@ -288,97 +252,88 @@ def _star_pairs(shared: DataFrame) -> DataFrame:
     ).distinct()
 
 
-def _rare_shingles(ids: DataFrame, texts: DataFrame, k: int) -> DataFrame:
-    """``held_by``: the documents among ``ids`` that hold a shingle, for every
-    shingle that at most three of them hold.  Smallest, largest and the
-    exclusive or name them all, so that common shingles cost one small state."""
+def _prefixes(ids: DataFrame, texts: DataFrame, k: int, threshold: int) -> DataFrame:
+    """``(key, id, n, place)``: the shingles ``key`` at the first places of the
+    sets of the documents among ``ids``, in the order of how many of them hold
+    a shingle.  Two sets of the threshold have one of these in common; those
+    that one set alone holds are left out."""
     rows = only_ids(texts, ids).join(ids, "id", "left_semi")
     bound_batches(rows)
 
     def shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = list(shingle_sets(batch.column(1).cast(pa.large_binary()).to_pylist(), k))
-            if sets:
-                owner = pa.array(np.repeat(np.arange(len(sets)), [len(x) for x in sets]))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(sets).view(np.int64)), batch.column(0).take(owner)],
-                    ["h", "id"],
-                )
-
-    each = rows.select("id", "text").mapInArrow(shingles, "h long, id long").distinct()
-    low, high, mixed = F.min("id"), F.max("id"), F.bit_xor("id")
-    third = mixed.bitwiseXOR(low).bitwiseXOR(high)
-    held = (
-        F.when(F.count(F.lit(1)) == 1, F.array(low))
-        .when(F.count(F.lit(1)) == 2, F.array(low, high))
-        .when(F.count(F.lit(1)) == 3, F.array(low, third, high))
+            if not sets:
+                continue
+            sizes = [len(x) for x in sets]
+            with np.errstate(over="ignore"):
+                names = np.array([splitmix(x).sum(dtype=np.uint64) for x in sets], np.uint64)
+            owner = np.repeat(np.arange(len(sets)), sizes)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate(sets).view(np.int64)), batch.column(0).take(pa.array(owner)),
+                 pa.array(names.view(np.int64)[owner]), pa.array(np.array(sizes, np.int64)[owner])],
+                ["key", "id", "name", "n"],
+            )
+
+    # An id may have several sets, each under its own name.
+    each = rows.select("id", "text").mapInArrow(shingles, "key long, id long, name long, n long")
+    each = materialize(each.distinct(), "crowd-shingles")
+    held = each.groupBy("key").agg(F.count(F.lit(1)).alias("held"))
+    order = Window.partitionBy("id", "name", "n").orderBy("held", "key")
+    placed = each.join(held, "key").withColumn("place", F.row_number().over(order) - 1)
+    return placed.filter(f"held > 1 AND (n - place) * 100 >= n * {threshold}").select(
+        "key", "id", "n", "place"
     )
-    return each.groupBy("h").agg(held.alias("held_by")).filter("held_by IS NOT NULL").select("held_by")
 
 
-def _open_pairs(
-    rows: DataFrame, comp: DataFrame, reps: DataFrame, texts: DataFrame, k: int, threshold: int,
-    level: int = 0,
-) -> DataFrame | None:
-    """Pairs across components within the buckets ``rows(key, id, n)``, of
-    sizes that allow the threshold."""
-    rows = rows.join(comp, "id", "left").select(
-        "key", "id", "n", F.coalesce("component", "id").alias("comp")
-    )
+def _open_buckets(rows: DataFrame, comp: DataFrame) -> DataFrame:
+    """The rows whose ``key`` has members in several components, with their
+    component, the key's largest one and the pairs to be looked at."""
+    rows = rows.join(comp, "id", "left").withColumn("comp", F.coalesce("component", "id"))
+    rows = rows.drop("component")
     part = rows.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("c"))
     keys = part.groupBy("key").agg(
         F.max(F.struct("c", "comp")).alias("top"), F.sum("c").alias("all"),
         F.count(F.lit(1)).alias("parts"),
     ).filter("parts > 1")
-    keys = keys.select("key", F.col("top.comp").alias("main"), ((F.col("all") - F.col("top.c")) * F.col("all")).alias("cost"))
-    open_ = materialize(rows.join(keys, "key"), "open-buckets")
-    last = level == len(LONGER)
+    keys = keys.select(
+        "key", F.col("top.comp").alias("main"),
+        ((F.col("all") - F.col("top.c")) * F.col("all")).alias("cost"),
+    )
+    return materialize(rows.join(keys, "key"), "open-buckets")
+
+
+def _cross_pairs(rows: DataFrame, threshold: int) -> DataFrame:
+    """Pairs across components within the open buckets ``rows``, of sizes and
+    places that allow the threshold."""
+    t = threshold
+    side = lambda x: [F.col(c).alias(f"{c}_{x}") for c in ("id", "comp", "n", "place")]
+    return (
+        rows.filter("comp <> main").select("key", *side("x"))
+        .join(rows.select("key", "main", *side("y")), "key")
+        .filter("comp_x <> comp_y AND (comp_y = main OR id_x < id_y)")
+        .filter(f"n_x * 100 >= n_y * {t} AND n_y * 100 >= n_x * {t}")
+        .filter(f"least(n_x - place_x, n_y - place_y) * (100 + {t}) >= (n_x + n_y) * {t}")
+        .select(F.least("id_x", "id_y").alias("a"), F.greatest("id_x", "id_y").alias("b")).distinct()
+    )
+
+
+def _open_pairs(
+    rows: DataFrame, comp: DataFrame, texts: DataFrame, k: int, threshold: int
+) -> DataFrame | None:
+    """Pairs across components of documents that share a bucket of
+    ``rows(key, id, n)``, of sizes that allow the threshold."""
+    open_ = _open_buckets(rows.withColumn("place", F.lit(0)), comp)
     n_few, n_many = open_.agg(
         F.count(F.when(F.col("cost") <= FEW, 1)), F.count(F.when(F.col("cost") > FEW, 1))
     ).first()
     if not n_few and not n_many:
         return None
-    shared_rare = None
-    if last:
-        ids = materialize(open_.select("id").distinct(), "crowd")
-        rare = materialize(_rare_shingles(ids, texts, k), "rare-shingles")
-        own = rare.select(F.explode("held_by").alias("id")).groupBy("id").agg(
-            F.count(F.lit(1)).alias("rare")
-        )
-        small = open_.join(own, "id", "left").withColumn("s", F.col("n") - F.coalesce("rare", F.lit(0)))
-        small = materialize(small.filter(f"s * 100 >= n * {threshold}"), "open-buckets")
-        # Pairs that share a rare shingle are looked at whatever the bound says.
-        two = F.array(*[
-            F.struct(F.get("held_by", F.lit(i)).alias("a"), F.get("held_by", F.lit(j)).alias("b"))
-            for i, j in ((0, 1), (0, 2), (1, 2))
-        ])
-        shared_rare = (
-            rare.filter("size(held_by) > 1").select(F.explode(two).alias("p")).select("p.a", "p.b")
-            .filter("b IS NOT NULL").distinct()
-        )
-    else:
-        small = open_.filter(F.col("cost") <= FEW).withColumn("s", F.col("n"))
-    # s: shingles that are not rare; an intersection without rare ones is no larger.
-    side = lambda x: [F.col(c).alias(f"{c}_{x}") for c in ("id", "comp", "n", "s")]
-    t = threshold
-    pairs = (
-        small.filter("comp <> main").select("key", *side("x"))
-        .join(small.select("key", "main", *side("y")), "key")
-        .filter("comp_x <> comp_y AND (comp_y = main OR id_x < id_y)")
-        .filter(f"n_x * 100 >= n_y * {t} AND n_y * 100 >= n_x * {t}")
-        .filter(f"least(s_x, s_y) * (100 + {t}) >= (n_x + n_y) * {t}")
-        .withColumnsRenamed({"id_x": "x", "id_y": "y"})
-        .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-    )
-    if shared_rare is not None:
-        pairs = pairs.unionByName(shared_rare).distinct()
-    if n_many and not last:
-        crowd = open_.filter(F.col("cost") > FEW).select("id").distinct()
-        longer = _longer_bands(reps.join(crowd, "id", "left_semi"), *LONGER[level])
-        again = materialize(_shared(longer).drop("size"), "longer-bands")
-        more = _open_pairs(again, comp, reps, texts, k, threshold, level + 1)
-        if more is not None:
-            pairs = pairs.unionByName(more).distinct()
+    pairs = _cross_pairs(open_.filter(F.col("cost") <= FEW), threshold)
+    if n_many:
+        ids = materialize(open_.filter(F.col("cost") > FEW).select("id").distinct(), "crowd")
+        crowd = materialize(_prefixes(ids, texts, k, threshold), "prefixes")
+        pairs = pairs.unionByName(_cross_pairs(_open_buckets(crowd, comp), threshold)).distinct()
     return pairs
 
 
@@ -402,7 +357,7 @@ def near_duplicates(
     pairs = materialize(_likely(_star_pairs(shared), reps, threshold), "pairs")
     links = materialize(confirmed(pairs, texts, k, threshold), "links")
     comp = materialize(connected_components(links), "components")
-    more = _open_pairs(shared.drop("size"), comp, reps, texts, k, threshold)
+    more = _open_pairs(shared.drop("size"), comp, texts, k, threshold)
     if more is not None:
         more = more.join(pairs, ["a", "b"], "left_anti")
         more = materialize(_likely(more, reps, threshold), "pairs")

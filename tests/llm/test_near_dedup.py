@@ -113,3 +113,20 @@ def test_components_of_a_long_path_and_a_star(spark):
     df = spark.createDataFrame(edges, "a long, b long")
     got = {r.id: r.component for r in connected_components(df).collect()}
     assert got == {**{i: 0 for i in range(61)}, **{i: 500 for i in range(500, 560)}}
+
+
+def test_pairs_at_the_threshold_in_a_crowd(make_docs):
+    """Copies of one text whose only links are pairs of exactly 0.8."""
+    rng = random.Random(11)
+    star, rows = [f"w{i}" for i in range(139)], []
+    for i in range(300):
+        # One edit of both, one of the first and two of the second document.
+        at = [5 + 6 * x + rng.randrange(2) for x in rng.sample(range(21), 4)]
+        first, second = star[:], star[:]
+        first[at[0]] = second[at[0]] = f"both{i}"
+        first[at[1]], second[at[2]], second[at[3]] = f"a{i}", f"b{i}", f"c{i}"
+        rows += [(2 * i, " ".join(first), "s"), (2 * i + 1, " ".join(second), "s")]
+    x, y = shingles(rows[0][1], 5), shingles(rows[1][1], 5)
+    assert len(x & y) * 100 == 80 * len(x | y)
+    got = N.near_duplicates(make_docs(rows), k=5).collect()
+    assert {r.id: r.component for r in got} == brute(rows, 5, 80)
