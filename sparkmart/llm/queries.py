@@ -212,3 +212,45 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc AS doc_id", "other AS match_doc_id", "x0 AS start_word", "x1 AS end_word",
         "y0 AS match_start", "y1 AS match_end", "distance", "identity",
     )
+
+
+#: One tenth of the documents get a periodic end: word i >= a becomes word
+#: a + (i - a) % p, where a and p follow from the id's checksum.
+PLANT = """
+CASE WHEN h % 10 = 0 AND size(w) > 0 THEN array_join(transform(sequence(0, size(w) - 1), i ->
+       w[int(CASE WHEN i < a THEN i ELSE a + (i - a) % p END)]), ' ')
+     ELSE text END
+"""
+
+
+@query("op13_periodic_runs")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sparkmart.llm.periodic_runs import periodic_runs
+
+    docs = table(spark, sf_dir, "documents").selectExpr(
+        "doc_id", "text", "crc32(encode(string(doc_id), 'UTF-8')) AS h"
+    )
+    docs = (
+        docs.selectExpr(
+            "*", "h div 10 AS g",
+            r"CASE WHEN h % 10 = 0 THEN regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+', 0) END AS w",
+        )
+        .selectExpr("*", "CASE WHEN size(w) > 0 THEN g % size(w) END AS a")
+        .selectExpr("*", "1 + (size(w) - a) div (3 + g % 8) AS p")
+        .selectExpr("doc_id", f"{PLANT} AS text")
+    )
+    # Longer exponents first, by cross products; then start, then period.
+    best = """array_sort(runs, (x, y) -> CASE
+        WHEN x.length * y.period <> y.length * x.period
+        THEN IF(x.length * y.period > y.length * x.period, -1, 1)
+        WHEN x.start <> y.start THEN IF(x.start < y.start, -1, 1)
+        ELSE int(sign(x.period - y.period)) END)"""
+    lines = "transform(runs, r -> concat(r.start, ',', r.length, ',', r.period, '\\n'))"
+    return periodic_runs(docs).selectExpr("*", f"get({best}, 0) AS top").selectExpr(
+        "doc_id",
+        "bigint(size(runs)) AS n_runs",
+        "top.start", "top.length", "top.period",
+        "1000 * top.length div top.period AS exponent_milli",
+        f"sha2(array_join({lines}, ''), 256) AS runs_sha256",
+        "sha2(collapsed, 256) AS collapsed_sha256",
+    )
