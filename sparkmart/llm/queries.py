@@ -214,6 +214,22 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op11_pfor_tokens")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from sparkmart.llm.pfor_tokens import read_tokens, write_tokens
+    from sparkmart.session import scratch_path
+
+    written = write_tokens(
+        table(spark, sf_dir, "documents"), scratch_path(spark, "pfor"),
+        public_tokenizers.path("byte_bpe_50k.json"), end_id=2,
+    )
+    return read_tokens(written).selectExpr(
+        "doc_id", "start", "bigint(octet_length(ids) div 4) AS n_tokens", "crc32(ids) AS ids_crc32"
+    )
+
+
 #: One tenth of the documents get a periodic end: word i >= a becomes word
 #: a + (i - a) % p, where a and p follow from the id's checksum.
 PLANT = """
