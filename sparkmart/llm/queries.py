@@ -230,6 +230,42 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+OP12_SQL = """
+WITH r AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.vec_id AS anchor_id, o.vec_id AS other_id, a.label = o.label AS same,
+         list_inner_product(a.v, o.v)::BIGINT AS score
+  FROM r AS a JOIN r AS o ON o.vec_id <> a.vec_id AND len(o.v) = len(a.v)
+  WHERE a.vec_id % 50 = 0),
+p AS (
+  SELECT anchor_id, other_id AS positive_id, score AS positive_score
+  FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5)
+SELECT p.anchor_id, p.positive_id,
+       (row_number() OVER (PARTITION BY p.anchor_id, p.positive_id
+                           ORDER BY s.score DESC, s.other_id))::INTEGER AS rank,
+       s.other_id AS negative_id, p.positive_score, s.score AS negative_score
+FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT s.same
+  AND 50 * p.positive_score <= 100 * s.score AND 100 * s.score <= 95 * p.positive_score
+QUALIFY rank <= 3
+"""
+
+
+@query("op12_rtree_hard_negatives", OP12_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sparkmart.llm.rtree_negatives import hard_negatives
+
+    rows = table(spark, sf_dir, "embeddings").selectExpr(
+        "vec_id", "CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label", "embedding"
+    )
+    return hard_negatives(rows, rows.filter("vec_id % 50 = 0"))
+
+
 #: One tenth of the documents get a periodic end: word i >= a becomes word
 #: a + (i - a) % p, where a and p follow from the id's checksum.
 PLANT = """
