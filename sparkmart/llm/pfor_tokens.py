@@ -49,12 +49,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparkmart.llm.common import bound_batches, col, materialize
+from sparkmart.llm.token_counts import byte_letters
 from sparkmart.llm.warc import open_folder
 
 BLOCK = 128
 SEGMENT_IDS = 1 << 18  # a segment ends with the document that reaches this many ids
 CHUNK_BLOCKS = 1 << 13  # blocks coded at once
-UNITS = 1_000_000  # units of text that a task remembers
+UNITS = 600_000  # units of text that a task remembers, twice
 PART = 1 << 20  # long texts are encoded in parts of about this many characters
 HEAD = "<4sqqqqqI"
 ROW = "<qqq"
@@ -225,6 +226,9 @@ UNIT = re.compile(
     re.DOTALL,
 )
 _CUT = re.compile(f" (?=[{_L}])")
+# Units that the pattern leaves whole, so that the library's model may be asked
+# for them without its cutting step.
+WHOLE = re.compile(rf" ?[{_L}]+| ?[{_P}]+|\n| ?[0-9]+")
 
 
 class Encoder(dict):
@@ -247,7 +251,10 @@ class Encoder(dict):
         )
         names = sorted((t["content"] for t in added), key=len, reverse=True)
         self.special = re.compile(f"({'|'.join(map(re.escape, names))})") if names else None
+        self.old: dict[str, bytes] = {}  # the units remembered before the present ones
+        self.letters = {b: letter for letter, b in byte_letters().items()}
         self.tokenizer = Tokenizer.from_str(spec)
+        self.model = self.tokenizer.model
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
 
@@ -256,7 +263,14 @@ class Encoder(dict):
         return struct.pack(f"<{len(ids)}I", *ids)
 
     def __missing__(self, unit: str) -> bytes:
-        ids = self.ask(unit)
+        ids = self.old.get(unit)
+        if ids is None:
+            if WHOLE.fullmatch(unit):
+                raw = unit.encode().decode("latin-1").translate(self.letters)
+                got = [t.id for t in self.model.tokenize(raw)]
+                ids = struct.pack(f"<{len(got)}I", *got)
+            else:
+                ids = self.ask(unit)
         if len(unit) <= 64:
             self[unit] = ids
         return ids
@@ -269,6 +283,7 @@ class Encoder(dict):
 
     def _part(self, text: str) -> bytes:
         if len(self) > UNITS:
+            self.old = dict(self)
             self.clear()
         return b"".join(map(self.__getitem__, self._units(text)))
 
