@@ -20,6 +20,7 @@ from sparkmart.sources.config import SourceSpec
 from sparkmart.sources.files import (
     latest_per_key,
     read_audit_log,
+    read_csv,
     read_latest_snapshot,
     read_snapshots,
 )
@@ -211,15 +212,52 @@ def snapshot_latest_per_key(spark, sf_dir):
     return _with_text_date(latest_per_key(df, ["s_suppkey"], "snapshot_date"))
 
 
+# ------------------------------------------------- files that disagree
+@query(
+    "csv_mixed_headers",
+    """SELECT p_partkey, p_name, p_brand, p_size, p_retailprice, '2024-01-01' AS snapshot_date FROM part
+UNION ALL
+SELECT p_partkey, p_name, p_brand, p_size, p_retailprice, '2024-01-02' FROM part""",
+)
+def csv_mixed_headers(spark, sf_dir):
+    """Two landings of the part table, the second with its columns reversed
+    and one more: every file is read by its own header."""
+    base = scratch_path(spark, "raw-part")
+    columns = ["p_partkey", "p_name", "p_brand", "p_size", "p_retailprice"]
+    part = adapter.table(spark, sf_dir, "part")
+    write_dated_csv(part.select(columns), base, "part.csv", SNAPSHOT_DATES[0])
+    write_dated_csv(part.select("p_type", *columns[::-1]), base, "part.csv", SNAPSHOT_DATES[1])
+    schema = part.select(columns).schema
+    return _with_text_date(read_snapshots(spark, base, "part.csv", schema=schema))
+
+
+@query(
+    "csv_text_roundtrip",
+    "SELECT doc_id, nullif(text, '') AS text, nullif(lang, '') AS lang, nullif(source, '') AS source, "
+    "n_chars FROM documents",
+)
+def csv_text_roundtrip(spark, sf_dir):
+    """Every document through a CSV folder and back: quotes, commas, line
+    breaks and blanks survive (an empty text is NULL there)."""
+    docs = adapter.table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source", "n_chars")
+    path = write_csv(docs, scratch_path(spark, "documents-csv"))
+    return read_csv(spark, path, schema=docs.schema)
+
+
 # -------------------------------------------------------------- ingestion
 @query(
     "ingest_audit",
     with_domain()
     + """
 SELECT 'customers_from_csv' AS dataset_name, 'csv' AS source_type,
-       count(*) AS n_rows, 'SUCCESS' AS status FROM customers
-UNION ALL SELECT 'balances_from_csv', 'csv', CAST(0 AS BIGINT), 'REJECTED'
-UNION ALL SELECT 'missing_file', 'csv', CAST(0 AS BIGINT), 'FAILED'""",
+       count(*) AS n_rows, 'SUCCESS' AS status, 'OK' AS notes FROM customers
+UNION ALL SELECT 'balances_from_csv', 'csv', CAST(0 AS BIGINT), 'REJECTED', (
+  SELECT concat_ws(' | ',
+    '[WARNING] balances_from_csv: kolom dengan null -> Balance, Segment',
+    printf('[ERROR] balances_from_csv: rasio null %.1f%% melewati batas 30.0%% — data ditolak.',
+           100 * (sum((c_acctbal < 9000)::INT) + sum((c_mktsegment <> 'BUILDING')::INT)) / (3 * count(*))))
+  FROM customer)
+UNION ALL SELECT 'missing_file', 'csv', CAST(0 AS BIGINT), 'FAILED', 'PATH_NOT_FOUND'""",
 )
 def ingest_audit(spark, sf_dir):
     """Three planted sources: a clean file, a mostly-null file, a missing path."""
@@ -244,4 +282,9 @@ def ingest_audit(spark, sf_dir):
     audit_path = f"{raw_base}/logs/ingestion_log"
     ing.run_all(spark, specs, raw_base, audit_path, run_clock=datetime.now(timezone.utc))
     log = read_audit_log(spark, audit_path)
-    return log.select("dataset_name", "source_type", F.col("rows").alias("n_rows"), "status")
+    # Of a failure, the error's class: the rest of its text names a scratch folder.
+    notes = F.when(F.col("status") == "FAILED", F.regexp_extract("notes", r"^\[(\w+)", 1))
+    return log.select(
+        "dataset_name", "source_type", F.col("rows").alias("n_rows"), "status",
+        F.coalesce(notes, "notes").alias("notes"),
+    )

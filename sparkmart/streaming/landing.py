@@ -2,9 +2,12 @@
 
 The batch ingestion run reads a whole source each time.  For a landing
 folder that keeps receiving files, the same steps run as a Structured
-Streaming query: the file source tracks which files were already taken (in
-the checkpoint), and each micro-batch is validated, standardised, written to
-the dated raw zone and audited inside ``foreachBatch``.
+Streaming query.  What streams is the *names* of the files: the file source
+tracks which were already taken (in the checkpoint), and each micro-batch hands
+its names to the batch run's reader, so that columns are found by each file's
+header and line breaks, blanks and missing-value tokens mean what they mean
+there.  The batch is validated, standardised, written to the dated raw zone
+and audited inside ``foreachBatch``.
 
 Restart safety: a batch's clock is that of its first attempt, kept beside the
 checkpoint, so a retry (even on another day) rewrites the same dated folder
@@ -27,6 +30,9 @@ from sparkmart.operators.quality import DEFAULT_NULL_THRESHOLD, validate
 from sparkmart.operators.standardize import standardize_columns
 from sparkmart.sinks.audit import STATUS_FAILED, STATUS_REJECTED, STATUS_SUCCESS, AuditRow, append_audit
 from sparkmart.sinks.files import write_csv
+from sparkmart.sources.files import PANDAS_NA_TOKENS, read_csv
+
+FILES = "path string, modificationTime timestamp, length long, content binary"
 
 
 def ingest_landing_stream(
@@ -41,14 +47,16 @@ def ingest_landing_stream(
     checkpoint: str,
     null_threshold: float = DEFAULT_NULL_THRESHOLD,
     available_now: bool = True,
-    max_files_per_trigger: int | None = None,
+    max_files_per_trigger: int = 1000,
 ) -> StreamingQuery:
     """Start the stream; with ``available_now`` it takes every file present
-    and stops (call ``awaitTermination``)."""
-    reader = spark.readStream.schema(schema).option("header", True).option("escape", '"')
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    files = reader.csv(landing_dir)
+    and stops (call ``awaitTermination``).  ``max_files_per_trigger`` bounds
+    the names that a batch brings to the driver."""
+    files = (
+        spark.readStream.format("binaryFile").schema(FILES)
+        .option("maxFilesPerTrigger", max_files_per_trigger)
+        .load(landing_dir).select("path")  # the files' contents are not read here
+    )
 
     def first_attempt(batch_id: int) -> datetime:
         path = f"{checkpoint.rstrip('/')}-clocks/{batch_id}"
@@ -62,8 +70,13 @@ def ingest_landing_stream(
         clock = first_attempt(batch_id)
         stamp = clock.isoformat()
         audit = f"{audit_path.rstrip('/')}/{name}-batch-{batch_id}"
-        data = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        paths = sorted(r["path"] for r in batch.collect())
+        if not paths:
+            return
+        data = None
         try:
+            data = read_csv(spark, paths, schema=schema, na_tokens=PANDAS_NA_TOKENS)
+            data = data.persist(StorageLevel.MEMORY_AND_DISK)
             report = validate(data, name, null_threshold)
             if report.n_rows == 0:
                 return
@@ -81,7 +94,8 @@ def ingest_landing_stream(
             append_audit(spark, [failed], audit, mode="overwrite")
             raise
         finally:
-            data.unpersist()
+            if data is not None:
+                data.unpersist()
 
     writer = (
         files.writeStream.foreachBatch(process)

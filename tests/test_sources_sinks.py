@@ -98,9 +98,9 @@ def test_snapshots_all_and_latest(spark):
     assert {r["snapshot_date"] for r in every.collect()} == {date(2024, 3, 1), date(2024, 3, 2)}
     latest = read_latest_snapshot(spark, base, "c.csv", schema=schema).orderBy("id").collect()
     assert [(r["id"], r["v"]) for r in latest] == [(1, "x"), (2, "z")]
-    from sparkmart.sources.files import list_files
+    from sparkmart.sources.csv_catalogue import list_files
 
-    listed = list_files(spark, base).collect()
+    listed = list_files(spark, base, recursive=True).collect()
     assert listed and all(r["path"].endswith(".csv") and r["length"] > 0 for r in listed)
     assert {r["path"].split("/")[-3] for r in listed} == {"2024-03-01", "2024-03-02"}
 

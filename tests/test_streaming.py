@@ -7,7 +7,7 @@ import tempfile
 import pytest
 
 from sparkmart.sinks.files import write_csv
-from sparkmart.sources.files import read_audit_log, read_csv
+from sparkmart.sources.files import PANDAS_NA_TOKENS, read_audit_log, read_csv
 from sparkmart.streaming.landing import ingest_landing_stream
 
 
@@ -77,3 +77,32 @@ def test_a_batch_retried_on_another_day_lands_once(spark, tmp_path, monkeypatch)
     assert sorted(r["id"] for r in landed) == ["1", "2"]
     log = read_audit_log(spark, f"{tmp_path}/log").collect()
     assert [(r["rows"], r["status"]) for r in log] == [(2, "SUCCESS")]
+
+
+def test_stream_reads_as_the_batch_run(spark, tmp_path):
+    """Other column order, quoted line break, blanks, missing-value tokens:
+    same rows and same audit."""
+    from sparkmart.ingest import run_source
+    from sparkmart.sources.config import SourceSpec
+
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "1.csv").write_text('b,a\n"x\ny", 1\n" z ",2\n')
+    (tmp_path / "in" / "2.csv").write_text("a,c,b\n3,drop,NA\n4,drop,w\n")
+    schema = spark.createDataFrame([], "a int, b string").schema
+    q = ingest_landing_stream(spark, f"{tmp_path}/in", schema, "c", "csv", "raw/c/c.csv",
+                              f"{tmp_path}/s", f"{tmp_path}/s/log", checkpoint=f"{tmp_path}/ckpt")
+    q.awaitTermination()
+    streamed = read_csv(spark, f"{tmp_path}/s/raw/c/*/c.csv/*").drop("ingestion_time")
+
+    def extract(sp, spec):
+        return read_csv(sp, spec.path, schema=schema, na_tokens=PANDAS_NA_TOKENS)
+
+    spec = SourceSpec("c", "csv", "raw/c/c.csv", path=f"{tmp_path}/in")
+    audit = run_source(spark, spec, f"{tmp_path}/b", extract=extract)
+    landed = read_csv(spark, f"{tmp_path}/b/raw/c/*/c.csv").drop("ingestion_time")
+    order = lambda df: sorted(map(tuple, df.select("a", "b", "source_type").collect()), key=str)
+    assert order(streamed) == order(landed) == [
+        ("1", "x\ny", "csv"), ("2", " z ", "csv"), ("3", None, "csv"), ("4", "w", "csv")
+    ]
+    log = read_audit_log(spark, f"{tmp_path}/s/log").first()
+    assert (log["rows"], log["status"], log["notes"]) == (audit.rows, audit.status, audit.notes)
