@@ -11,27 +11,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Money is carried as an exact integer count of 1/10000 units (cents × cents
-# when quantity and price both have two decimals).  Integer sums are exact and
-# order-independent, so totals agree bit-for-bit across engines and across
-# partitionings, and stay in long arithmetic (no BigDecimal per row).
-MONEY_SCALE = 10000
-
-
-def to_cents(c: Column) -> Column:
-    """A two-decimal amount as an exact long number of hundredths."""
-    return F.round(c * 100).cast(T.LongType())
-
-
-def money_units(quantity: Column, price: Column) -> Column:
-    """``quantity * price`` as an exact long in 1/10000 units."""
-    return to_cents(quantity) * to_cents(price)
-
-
-def units_to_money(units: Column) -> Column:
-    return units.cast(T.DoubleType()) / F.lit(MONEY_SCALE)
-
-
 def round_half_up(c: Column, digits: int = 2) -> Column:
     """Half-up rounding written as plain double arithmetic.
 

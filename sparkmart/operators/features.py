@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sparkmart.functions import money_units, units_to_money
+from sparkmart.functions.money import ExactSum, line_value
 from sparkmart.operators.quantiles import approx_quantile, quantile_disc
 
 FEATURE_COLUMNS = (
@@ -39,7 +39,7 @@ def line_values(
     unknown_products: str = "keep",
     extra_product_cols: tuple[str, ...] = (),
 ) -> DataFrame:
-    """Order lines with ``value_units`` = quantity × price (exact long units).
+    """Order lines with ``value`` = quantity × price in the inputs' own types.
 
     ``unknown_products="keep"`` is the left join (J1): a line of an unknown
     product stays, counts as an order and has a NULL value.  ``"drop"`` is
@@ -47,25 +47,44 @@ def line_values(
     """
     how = {"keep": "left", "drop": "inner"}[unknown_products]
     prices = products.select("product_id", "price", *extra_product_cols)
+    types = order_lines.schema["quantity"].dataType, products.schema["price"].dataType
     return order_lines.join(prices, on="product_id", how=how).withColumn(
-        "value_units", money_units(F.col("quantity"), F.col("price"))
+        "value", line_value(F.col("quantity"), F.col("price"), types)
+    )
+
+
+def _spend_columns(agg: DataFrame, spend: ExactSum, key: str) -> DataFrame:
+    total = spend.total()
+    return agg.select(
+        key,
+        "total_orders",
+        total.alias("total_spend"),
+        F.try_divide(total.cast("double"), F.col("priced_lines")).alias("avg_spend_per_order"),
     )
 
 
 def spend_aggregate(lines: DataFrame, key: str = "customer_id") -> DataFrame:
     """count(order_id) / exact sum / average of line value per key."""
+    spend = ExactSum.of(lines, "value")
     agg = lines.groupBy(key).agg(
         F.count("order_id").alias("total_orders"),
-        F.sum("value_units").alias("spend_units"),
-        F.count("value_units").alias("priced_lines"),
+        *spend.first(F.col("value")),
+        F.count("value").alias("priced_lines"),
     )
-    total = units_to_money(F.col("spend_units"))
-    return agg.select(
-        key,
-        "total_orders",
-        total.alias("total_spend"),
-        F.try_divide(total, F.col("priced_lines")).alias("avg_spend_per_order"),
+    return _spend_columns(agg, spend, key)
+
+
+def spend_per_order(priced: DataFrame, spend: ExactSum, *more: Column) -> DataFrame:
+    """Priced lines reduced to one row per order (map-side first), so that
+    what meets the order header is orders and not lines."""
+    per_order = priced.groupBy("order_id").agg(
+        F.count("order_id").alias("n_lines"),
+        *spend.first(F.col("value")),
+        F.count("value").alias("priced_lines"),
+        *more,
     )
+    kept = [c for c in per_order.columns if c not in spend.columns]
+    return per_order.select(*kept, *spend.carried())
 
 
 def spend_aggregate_by_order(
@@ -80,27 +99,18 @@ def spend_aggregate_by_order(
     per-order partials.  A hot order collapses in the partial aggregate.
     """
     priced = line_values(lines, products, unknown_products)
-    per_order = priced.groupBy("order_id").agg(
-        F.count("order_id").alias("n_lines"),
-        F.sum("value_units").alias("spend_units"),
-        F.count("value_units").alias("priced_lines"),
-    )
+    spend = ExactSum.of(priced, "value")
+    per_order = spend_per_order(priced, spend)
     per_customer = (
         per_order.join(orders.select("order_id", "customer_id"), "order_id", "inner")
         .groupBy("customer_id")
         .agg(
             F.sum("n_lines").alias("total_orders"),
-            F.sum("spend_units").alias("spend_units"),
+            *spend.merged(),
             F.sum("priced_lines").alias("priced_lines"),
         )
     )
-    total = units_to_money(F.col("spend_units"))
-    return per_customer.select(
-        "customer_id",
-        "total_orders",
-        total.alias("total_spend"),
-        F.try_divide(total, F.col("priced_lines")).alias("avg_spend_per_order"),
-    )
+    return _spend_columns(per_customer, spend, "customer_id")
 
 
 def label_high_value(df: DataFrame, threshold: float | None, col: str = "total_spend") -> DataFrame:

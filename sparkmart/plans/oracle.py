@@ -26,7 +26,18 @@ order_lines AS (
          l_partkey AS product_id, l_quantity AS quantity, o_orderdate AS order_date
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey)"""
 
-UNITS = "CAST(round(ol.quantity * 100) AS BIGINT) * CAST(round(p.price * 100) AS BIGINT)"
+VALUE = "(ol.quantity * p.price)"
+
+
+def money_sum(x: str) -> str:
+    """The exact sum of a double, as :class:`sparkmart.functions.money.ExactSum`
+    defines it: whole units and billionths are summed as integers."""
+    nano = f"sum(CAST(floor(({x} - floor({x})) * 1000000000 + 0.5) AS HUGEINT))"
+    whole = f"sum(CAST(floor({x}) AS HUGEINT))"
+    return (
+        f"(CAST({whole} + {nano} // 1000000000 AS DOUBLE)"
+        f" + CAST({nano} % 1000000000 AS DOUBLE) / 1000000000)"
+    )
 
 
 def r2(x: str, digits: int = 2) -> str:
@@ -56,12 +67,12 @@ def features_sql(
         avg = spark_round(avg, 2)
     return f"""
 lv AS (
-  SELECT ol.customer_id, ol.order_id, {UNITS} AS value_units
+  SELECT ol.customer_id, ol.order_id, {VALUE} AS value
   FROM {lines_cte} ol {join} JOIN {products_cte} p ON ol.product_id = p.product_id),
 agg AS (
   SELECT customer_id, count(order_id) AS total_orders,
-         CAST(sum(value_units) AS DOUBLE) / 10000 AS total_spend,
-         count(value_units) AS priced_lines
+         {money_sum("value")} AS total_spend,
+         count(value) AS priced_lines
   FROM lv GROUP BY customer_id),
 feats AS (
   SELECT {cust_cols},

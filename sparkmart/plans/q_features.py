@@ -12,34 +12,37 @@ from sparkmart.plans import query
 from sparkmart.plans.oracle import features_sql, with_domain
 
 # Planted cases.  The test tables have no orphan keys and no nulls, so a few
-# queries restrict a dimension to exercise the outer-join and fill paths; the
-# line items are always read whole.
-#  - a product catalogue without the PROMO type → order lines of unknown products
-#  - order headers of one year only → customers without orders
+# queries add rows; the tables themselves are always read whole.
+#  - every line of 48 or more pieces comes again for a product that is in no
+#    catalogue → order lines of unknown products
+#  - every twentieth customer comes again under an id of its own → customers
+#    without orders
 #  - customers with a negative balance get no recorded age → nullable age
-CATALOGUE_EXCLUDED_TYPE = "PROMO"
-ORDER_YEAR = 1996
+UNKNOWN_FROM = 48
+NEW_IDS = 1_000_000_000_000
 
 
-def _catalogue(spark, sf_dir):
-    return adapter.products(spark, sf_dir).where(F.col("category") != CATALOGUE_EXCLUDED_TYPE)
+def _with_unknown_products(lines):
+    more = lines.where(F.col("quantity") >= UNKNOWN_FROM)
+    return lines.unionByName(more.withColumn("product_id", -F.col("product_id")))
 
 
-def _year_orders(spark, sf_dir):
-    # a range on the raw column is pushed into the Parquet scan; year() is not
-    lo = F.lit(f"{ORDER_YEAR}-01-01 00:00:00").cast("timestamp_ntz")
-    hi = F.lit(f"{ORDER_YEAR + 1}-01-01 00:00:00").cast("timestamp_ntz")
-    o = adapter.order_customers(spark, sf_dir)
-    return o.where((F.col("order_date") >= lo) & (F.col("order_date") < hi))
+def _with_new_customers(customers):
+    more = customers.where(F.col("customer_id") % 20 == 0)
+    return customers.unionByName(more.withColumn("customer_id", F.col("customer_id") + NEW_IDS))
 
 
-def _customers_nullable_age(spark, sf_dir):
-    c = adapter.customers(spark, sf_dir)
-    return c.withColumn("age", F.when(F.col("acctbal") >= 0, F.col("age")))
+def _nullable_age(customers):
+    return customers.withColumn("age", F.when(F.col("acctbal") >= 0, F.col("age")))
 
 
-CATALOGUE_SQL = f"catalogue AS (SELECT * FROM products WHERE category <> '{CATALOGUE_EXCLUDED_TYPE}')"
-YEAR_LINES_SQL = f"year_lines AS (SELECT * FROM order_lines WHERE year(order_date) = {ORDER_YEAR})"
+UNKNOWN_SQL = f"""planted_lines AS (
+  SELECT * FROM order_lines UNION ALL
+  SELECT * REPLACE (-product_id AS product_id) FROM order_lines WHERE quantity >= {UNKNOWN_FROM})"""
+NEW_SQL = f"""planted_customers AS (
+  SELECT * FROM customers UNION ALL
+  SELECT * REPLACE (customer_id + {NEW_IDS} AS customer_id) FROM customers WHERE customer_id % 20 = 0)"""
+_FROM_PLANTED = ("FROM customers c", "FROM planted_customers c")
 
 
 @query("customer_features", with_domain(features_sql()) + "SELECT * FROM labeled")
@@ -69,52 +72,52 @@ def customer_features_large(spark, sf_dir):
 
 @query(
     "features_unknown_keep",
-    with_domain(CATALOGUE_SQL, features_sql(products_cte="catalogue")) + "SELECT * FROM labeled",
+    with_domain(UNKNOWN_SQL, features_sql(lines_cte="planted_lines")) + "SELECT * FROM labeled",
 )
 def features_unknown_keep(spark, sf_dir):
-    c, li, _, o = adapter.feature_inputs(spark, sf_dir)
-    return feat.customer_features(c, li, _catalogue(spark, sf_dir), unknown_products="keep", orders=o)
+    c, li, p, o = adapter.feature_inputs(spark, sf_dir)
+    return feat.customer_features(c, _with_unknown_products(li), p, unknown_products="keep", orders=o)
 
 
 @query(
     "features_unknown_drop",
-    with_domain(CATALOGUE_SQL, features_sql(join="INNER", products_cte="catalogue"))
+    with_domain(UNKNOWN_SQL, features_sql(join="INNER", lines_cte="planted_lines"))
     + "SELECT * FROM labeled",
 )
 def features_unknown_drop(spark, sf_dir):
-    c, li, _, o = adapter.feature_inputs(spark, sf_dir)
-    return feat.customer_features(c, li, _catalogue(spark, sf_dir), unknown_products="drop", orders=o)
+    c, li, p, o = adapter.feature_inputs(spark, sf_dir)
+    return feat.customer_features(c, _with_unknown_products(li), p, unknown_products="drop", orders=o)
 
 
 @query(
     "customers_without_orders_filled",
-    with_domain(YEAR_LINES_SQL, features_sql(lines_cte="year_lines")) + "SELECT * FROM labeled",
+    with_domain(NEW_SQL, features_sql().replace(*_FROM_PLANTED)) + "SELECT * FROM labeled",
 )
 def customers_without_orders_filled(spark, sf_dir):
-    c, li, p, _ = adapter.feature_inputs(spark, sf_dir)
-    return feat.customer_features(c, li, p, orders=_year_orders(spark, sf_dir))
+    c, li, p, o = adapter.feature_inputs(spark, sf_dir)
+    return feat.customer_features(_with_new_customers(c), li, p, orders=o)
 
 
 _NULL_AGE_CUSTOMERS = (
     "customers_na AS (SELECT customer_id, customer_name, city,"
-    " CASE WHEN acctbal >= 0 THEN age END AS age FROM customers)"
+    " CASE WHEN acctbal >= 0 THEN age END AS age FROM planted_customers)"
 )
 
 
 @query(
     "fill_all_numeric",
     with_domain(
+        NEW_SQL,
         _NULL_AGE_CUSTOMERS,
-        YEAR_LINES_SQL,
-        features_sql(lines_cte="year_lines").replace("FROM customers c", "FROM customers_na c"),
+        features_sql().replace("FROM customers c", "FROM customers_na c"),
     )
     + "SELECT customer_id, customer_name, city, coalesce(age, 0) AS age, total_orders, total_spend,"
     " avg_spend_per_order, is_high_value FROM labeled",
 )
 def fill_all_numeric(spark, sf_dir):
-    c = _customers_nullable_age(spark, sf_dir).select("customer_id", "customer_name", "city", "age")
-    li, p = adapter.line_items(spark, sf_dir), adapter.products(spark, sf_dir)
-    return feat.customer_features(c, li, p, fill="all_numeric", orders=_year_orders(spark, sf_dir))
+    c, li, p, o = adapter.feature_inputs(spark, sf_dir)
+    c = _nullable_age(_with_new_customers(c)).select("customer_id", "customer_name", "city", "age")
+    return feat.customer_features(c, li, p, fill="all_numeric", orders=o)
 
 
 @query(

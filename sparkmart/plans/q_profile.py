@@ -9,7 +9,7 @@ from sparkmart import adapter
 from sparkmart.operators import features as feat
 from sparkmart.operators import profile, rollups
 from sparkmart.plans import query
-from sparkmart.plans.oracle import UNITS, features_sql, r2, with_domain
+from sparkmart.plans.oracle import VALUE, features_sql, money_sum, r2, with_domain
 from sparkmart.session import scratch_path
 from sparkmart.sinks import files as sinks
 from sparkmart.sources import files as sources
@@ -153,16 +153,15 @@ def hist_spend(spark, sf_dir):
 CUSTOMER_CATEGORIES_SQL = f"""
 cc AS (
   SELECT ol.customer_id, count(ol.order_id) AS total_orders,
-         CAST(sum({UNITS}) AS DOUBLE) / 10000 AS total_spend,
+         {money_sum(VALUE)} AS total_spend,
          count(DISTINCT p.category) AS categories_bought
   FROM order_lines ol JOIN products p ON ol.product_id = p.product_id
   GROUP BY ol.customer_id)"""
 
 
 def _customer_categories(spark, sf_dir):
-    return rollups.customer_categories(
-        adapter.order_lines(spark, sf_dir), adapter.products(spark, sf_dir)
-    )
+    _, li, p, o = adapter.feature_inputs(spark, sf_dir)
+    return rollups.customer_categories(li, o, p)
 
 
 @query("customer_categories", with_domain(CUSTOMER_CATEGORIES_SQL) + "SELECT * FROM cc")
@@ -184,15 +183,15 @@ def top_customers_by_spend(spark, sf_dir):
     with_domain()
     + f"""
 SELECT c.city, p.category, count(ol.order_id) AS total_orders,
-       CAST(sum({UNITS}) AS DOUBLE) / 10000 AS total_spend,
+       {money_sum(VALUE)} AS total_spend,
        count(DISTINCT ol.customer_id) AS unique_customers
 FROM order_lines ol JOIN products p ON ol.product_id = p.product_id
 JOIN customers c ON ol.customer_id = c.customer_id
 GROUP BY c.city, p.category""",
 )
 def city_category_rollup(spark, sf_dir):
-    c, ol, p = adapter.domain(spark, sf_dir)
-    return rollups.city_category_rollup(ol, p, c)
+    c, li, p, o = adapter.feature_inputs(spark, sf_dir)
+    return rollups.city_category_rollup(li, o, p, c)
 
 
 SPEND_WITH_CITY_SQL = with_domain(

@@ -9,7 +9,6 @@ import pytest
 
 from sparkmart import adapter
 from sparkmart.operators import features as feat
-from sparkmart.plans.q_features import _year_orders
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="driver test data not present")
@@ -29,15 +28,35 @@ def test_feature_scans_read_only_needed_columns(spark):
     assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
 
 
-def test_order_year_filter_is_pushed_into_the_scan(spark):
-    plan = plan_of(_year_orders(spark, SF))
-    assert re.search(r"PushedFilters: \[[^\]]*GreaterThanOrEqual\(o_orderdate", plan)
-    assert re.search(r"PushedFilters: \[[^\]]*LessThan\(o_orderdate", plan)
+def test_rollups_exchange_no_raw_lines_and_expand_nothing(spark):
+    """With broadcasts off: after pricing, every exchange carries partial sums."""
+    from sparkmart.operators.rollups import city_category_rollup, customer_categories
 
-
-def test_rollup_has_no_distinct_expansion_over_lines(spark):
-    from sparkmart.operators.rollups import city_category_rollup
-
-    c, ol, p = adapter.domain(spark, SF)
-    plan = plan_of(city_category_rollup(ol, p, c))
-    assert "Expand" not in plan and "count(distinct" not in plan.lower()
+    c, li, p, o = adapter.feature_inputs(spark, SF)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        for df in (city_category_rollup(li, o, p, c), customer_categories(li, o, p)):
+            plan = plan_of(df)
+            assert "Expand" not in plan and "distinct" not in plan.lower()
+            lines = plan.split("\n")
+            place = [len(re.match(r"[ :+\-*]*", x)[0]) for x in lines]
+            seen = 0
+            for i, x in enumerate(lines):
+                below = []
+                for j in range(i + 1, len(lines)):
+                    if place[j] <= place[i]:
+                        break
+                    below.append(lines[j])
+                # Exchanges above the pricing join of the line items.
+                if "Exchange hashpartitioning" in x and any("l_quantity" in y for y in below) and any(
+                    "SortMergeJoin [product_id" in y for y in below
+                ):
+                    node = next(y for y in below if " Project " not in y)
+                    assert "HashAggregate" in node, x
+                    seen += 1
+            assert seen >= 2
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
