@@ -60,3 +60,21 @@ def test_rollups_exchange_no_raw_lines_and_expand_nothing(spark):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
         spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_duplicate_check_exchanges_fingerprints_only(spark):
+    from sparkmart.operators.quality import duplicate_summary
+
+    li = adapter.table(spark, SF, "lineitem")
+    exchanges = [x for x in plan_of(duplicate_summary(li)).split("\n") if "Exchange" in x]
+    assert exchanges and not any("l_" in x for x in exchanges)
+    assert "Join" not in plan_of(duplicate_summary(li))
+
+
+def test_rows_that_hash_alike_are_told_apart(spark):
+    from sparkmart.operators.quality import duplicate_summary
+
+    rows = [("a", None, None), (None, "a", None), (None, None, "a"), ("", None, None), (None, "", None),
+            (None, None, None), ("ab", "c", None), ("a", "bc", None), ("a", None, None)]
+    got = duplicate_summary(spark.createDataFrame(rows, "x string, y string, z string")).first()
+    assert tuple(got) == (9, 1)
