@@ -9,6 +9,7 @@ never stops the next.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timezone
@@ -134,7 +135,8 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--storage", help="storage settings file (bucket, endpoint, secure)")
     ap.add_argument("--raw-base", help="raw-zone base URI; overrides --storage")
     ap.add_argument("--audit", help="audit log folder (default: <raw-base>/logs/ingestion_log)")
-    ap.add_argument("--db-password", default=None)
+    ap.add_argument("--db-password-env", default="DB_PASSWORD",
+                    help="environment variable that holds the database password")
     ap.add_argument("--master", default=None)
     ap.add_argument("--parallel", type=int, default=1)
     a = ap.parse_args(argv)
@@ -153,7 +155,7 @@ def main(argv: list[str] | None = None) -> int:
     specs = load_sources(a.sources)
 
     def extract(sp: SparkSession, spec: SourceSpec) -> DataFrame:
-        return default_extract(sp, spec, password=a.db_password)
+        return default_extract(sp, spec, password=os.environ.get(a.db_password_env))
 
     rows = run_all(spark, specs, raw_base, a.audit or f"{raw_base}/logs/ingestion_log",
                    extract=extract, max_parallel_sources=a.parallel)

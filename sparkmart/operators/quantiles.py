@@ -4,20 +4,22 @@
 the same element SQL ``percentile_disc(q)`` picks (lower middle for the
 median of an even count).  Spark's own ``percentile_disc`` merges a map of
 every distinct value in a single task; here each pass is an ordinary
-distributed aggregate whose result is bounded by ``bins`` rows:
+distributed aggregate of one row:
 
-1. one pass for ``n``, ``min``, ``max`` over the column;
-2. while the band ``[lo, hi]`` holding the k-th value has more than
-   ``small`` rows: group the band into ``bins`` equal-width buckets (count,
-   min, max per bucket), keep the bucket holding rank k.  Bucket index is
-   monotone in the value, so the new band ``[bucket min, bucket max]`` holds
-   exactly that bucket's rows; a band of one repeated value ends the loop
-   (a hot value costs one pass, whatever its share of rows);
-3. a band of at most ``small`` rows is finished with a bounded top-k.
+1. a pass over the band ``[lo, hi]`` that holds the k-th value (at first the
+   whole column) counts the rows below it and in it and sketches it
+   (``percentile_approx``, merged map-side) at ``bins + 1`` ranks;
+2. the two sketched values that enclose rank k, with a margin for the sketch's
+   error, are the next band.  The next pass's counts check it: if rank k is not
+   in it (the sketch was off), the band on the side that holds it is taken;
+3. a band of at most ``small`` rows is finished with a bounded top-k, a band of
+   one repeated value at once.
 
-Infinite values are counted and set aside like NaN (which sorts last), the
-bucket is computed from halved doubles so that no range overflows, and a pass
-that does not shrink the band is an error instead of an endless loop.
+Bands are chosen by rank and not by width, so a long tail costs no passes: each
+one leaves about ``3 / bins`` of the rows.
+
+Infinite values are counted and set aside like NaN (which sorts last), and a
+pass that does not shrink the band is an error instead of an endless loop.
 
 Persist the input first: each pass is a job over it.
 """
@@ -26,13 +28,13 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
 def quantile_disc(
-    df: DataFrame, col: str, q: float, bins: int = 1024, small: int = 50_000
+    df: DataFrame, col: str, q: float, bins: int = 256, small: int = 50_000
 ) -> float | None:
     if not 0.0 <= q <= 1.0:
         raise ValueError(f"quantile must be in [0, 1], got {q}")
@@ -45,75 +47,97 @@ def quantile_disc(
     top = (F.col("v") == inf) & ~nan if floating else F.lit(False)
     bottom = F.col("v") == -inf if floating else F.lit(False)
     finite = ~nan & ~top & ~bottom
-    stats = values.agg(
+    first = _pass(values, finite, None, None, bins, [
         F.count("v").alias("n"),
         F.count_if(nan).alias("nan"),
         F.count_if(top).alias("top"),
         F.count_if(bottom).alias("bottom"),
-        F.min(F.when(finite, F.col("v"))).alias("lo"),
-        F.max(F.when(finite, F.col("v"))).alias("hi"),
-    ).first()
-    n, lo, hi = stats["n"], stats["lo"], stats["hi"]
+    ])
+    n = first["n"]
     if n == 0:
         return None
     k = max(1, math.ceil(q * n))  # 1-based rank wanted
-    if k > n - stats["nan"]:
+    if k > n - first["nan"]:
         return float("nan")
-    if k > n - stats["nan"] - stats["top"]:
+    if k > n - first["nan"] - first["top"]:
         return inf
-    if k <= stats["bottom"]:
+    if k <= first["bottom"]:
         return -inf
-    k -= stats["bottom"]
+    k -= first["bottom"]
     if floating:
         values = values.where(finite)
-    below = 0  # rows strictly below the band
-    band_n = n - stats["nan"] - stats["top"] - stats["bottom"]
+    lo, hi, below, band_n, ranks = first["lo"], first["hi"], 0, first["band"], first["ranks"]
     while True:
         if lo == hi:
             return lo
-        band = values.where((F.col("v") >= F.lit(lo)) & (F.col("v") <= F.lit(hi)))
         if band_n <= small:
-            row = band.orderBy("v").offset(k - below - 1).limit(1).first()
-            return row["v"]
-        buckets = (
-            band.select(_bucket(F.col("v"), lo, hi, bins).alias("b"), "v")
-            .groupBy("b")
-            .agg(F.count("v").alias("c"), F.min("v").alias("lo"), F.max("v").alias("hi"))
-            .collect()  # at most `bins` rows
-        )
-        if len(buckets) == 1:  # values too close for doubles to tell apart
-            near = band.groupBy("v").count().orderBy("v").limit(4096).collect()
-            for r in near:
-                if below + r["count"] >= k:
-                    return r["v"]
-                below += r["count"]
+            band = values.where((F.col("v") >= F.lit(lo)) & (F.col("v") <= F.lit(hi)))
+            return band.orderBy("v").offset(k - below - 1).limit(1).first()["v"]
+        at = (k - below) / band_n * bins
+        a, b = max(0, math.floor(at) - 1), min(bins, math.ceil(at) + 1)
+        new_lo, new_hi = max(lo, ranks[a]), min(hi, ranks[b])
+        # A few heavy values, or ones that the sketch (doubles) cannot tell apart.
+        if new_hi < new_lo or (new_lo == lo and new_hi == hi):
+            if (one := _heavy(values, lo, hi, k - below)) is not None:
+                return one
             raise ArithmeticError(f"the band [{lo}, {hi}] of {col} cannot be narrowed")
-        buckets.sort(key=lambda r: r["b"])
-        for r in buckets:
-            if below + r["c"] >= k:
-                lo, hi, band_n = r["lo"], r["hi"], r["c"]
-                break
-            below += r["c"]
+        got = _pass(values, F.lit(True), new_lo, new_hi, bins, [
+            F.count_if(F.col("v") < F.lit(new_lo)).alias("under"),
+            F.max(F.when(F.col("v") < F.lit(new_lo), F.col("v"))).alias("last_under"),
+            F.min(F.when(F.col("v") > F.lit(new_hi), F.col("v"))).alias("first_over"),
+        ])
+        if k <= got["under"]:  # the sketch was off: the wanted value is below
+            hi, band_n = got["last_under"], got["under"] - below
+        elif k > got["under"] + got["band"]:  # or above
+            lo = got["first_over"]
+            band_n -= got["under"] - below + got["band"]
+            below = got["under"] + got["band"]
+        else:
+            lo, hi, below, band_n, ranks = got["lo"], got["hi"], got["under"], got["band"], got["ranks"]
+            continue
+        # Sketch the band that was left over.
+        ranks = _pass(values, F.lit(True), lo, hi, bins, [])["ranks"]
+
+
+def _pass(values: DataFrame, keep: Column, lo, hi, bins: int, more: list[Column]):
+    """One row: ``more`` over all rows; count, least, greatest and ``bins + 1``
+    evenly ranked values of those kept in ``[lo, hi]``."""
+    if lo is not None:
+        keep = keep & (F.col("v") >= F.lit(lo)) & (F.col("v") <= F.lit(hi))
+    v = F.when(keep, F.col("v"))
+    return values.agg(
+        *more,
+        F.count(v).alias("band"), F.min(v).alias("lo"), F.max(v).alias("hi"),
+        F.percentile_approx(v, [i / bins for i in range(bins + 1)], 20 * bins).alias("ranks"),
+    ).first()
 
 
-def _bucket(x, lo, hi, bins: int):
-    """Equal-width bucket of ``x`` in ``[lo, hi]``, monotone in ``x``.  Halving
-    before subtracting keeps any range within doubles."""
-    half = lambda c: c.cast(T.DoubleType()) / 2
-    low, high = half(F.lit(lo)), half(F.lit(hi))
-    share = F.when(high > low, (half(x) - low) / (high - low)).otherwise(0.0)
-    return F.least(F.floor(share * bins), F.lit(bins - 1)).cast(T.IntegerType())
+def _heavy(values: DataFrame, lo, hi, k: int):
+    """The k-th value of a band with a few heavy values (None if they are not few)."""
+    band = values.where((F.col("v") >= F.lit(lo)) & (F.col("v") <= F.lit(hi)))
+    below = 0
+    for r in band.groupBy("v").count().orderBy("v").limit(4096).collect():
+        below += r["count"]
+        if below >= k:
+            return r["v"]
+    return None
+
+
+def rank_error(df: DataFrame, col: str, q: float, value: float) -> float | None:
+    """How far ``value``'s rank is from ``q``, as a share of the rows (0 if the
+    wanted rank is one of its own); None without rows."""
+    r = df.where(F.col(col).isNotNull()).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count_if(F.col(col) < F.lit(value)).alias("below"),
+        F.count_if(F.col(col) <= F.lit(value)).alias("upto"),
+    ).first()
+    if not r["n"]:
+        return None
+    k = max(1, math.ceil(q * r["n"]))
+    return max(0, r["below"] + 1 - k, k - r["upto"]) / r["n"]
 
 
 def approx_quantile(df: DataFrame, col: str, q: float, rel_error: float = 0.01) -> float | None:
     """The reference's estimator: Greenwald-Khanna sketch, merged per partition."""
     got = df.approxQuantile(col, [q], rel_error)
     return got[0] if got else None
-
-
-def median_frame(df: DataFrame, col: str, alias: str = "median") -> DataFrame:
-    """One-row frame holding the exact median, as a Spark result."""
-    value = quantile_disc(df, col, 0.5)
-    spark = df.sparkSession
-    schema = T.StructType([T.StructField(alias, df.schema[col].dataType, True)])
-    return spark.createDataFrame([(value,)], schema)

@@ -1,10 +1,12 @@
-"""End-to-end run query (B1): rows written by each stage (rows-only check)."""
+"""End-to-end run query (B1): rows written by each stage."""
 
 from __future__ import annotations
 
 from sparkmart import adapter
 from sparkmart.end_to_end import EndToEndConfig, run_end_to_end, stage_rows_frame
 from sparkmart.plans import query
+from sparkmart.plans.q_baskets import _recursive
+from sparkmart.plans.q_models import TEST_RATIO
 from sparkmart.session import scratch_path
 
 # Order × brand baskets (see q_baskets): per-customer baskets of the test
@@ -14,7 +16,16 @@ TESTDATA_CONFIG = EndToEndConfig(
 )
 
 
-@query("end_to_end_stage_rows")
+@query(
+    "end_to_end_stage_rows",
+    _recursive(
+        f"""SELECT 'customer_features' AS stage, count(*) AS rows_written FROM customers
+UNION ALL SELECT 'customer_clusters', count(*) FROM customers
+UNION ALL SELECT 'classification_results', count(*) FROM customers
+  WHERE CAST(((customer_id % 2147483648) * 2654435761) % 4294967296 AS DOUBLE) / 4294967296 < {TEST_RATIO}
+UNION ALL SELECT 'association_rules', count(*) FROM rules"""
+    ),
+)
 def end_to_end_stage_rows(spark, sf_dir):
     c, ol, p = adapter.domain(spark, sf_dir)
     base = scratch_path(spark, "end-to-end")

@@ -7,7 +7,7 @@ from pyspark.sql import types as T
 
 from sparkmart import adapter
 from sparkmart.operators import features as feat
-from sparkmart.operators.quantiles import approx_quantile, quantile_disc
+from sparkmart.operators.quantiles import approx_quantile, quantile_disc, rank_error
 from sparkmart.plans import query
 from sparkmart.plans.oracle import features_sql, with_domain
 
@@ -160,3 +160,16 @@ def approx_median_spend(spark, sf_dir):
     value = approx_quantile(f, "total_spend", 0.5, 0.01)
     schema = T.StructType([T.StructField("approx_median_spend", T.DoubleType())])
     return spark.createDataFrame([(value,)], schema)
+
+
+@query(
+    "approx_median_rank",
+    with_domain(features_sql()) + "SELECT count(*) AS n_customers, TRUE AS within_one_percent FROM feats",
+)
+def approx_median_rank(spark, sf_dir):
+    """The sketch's median, judged by its rank among all customers."""
+    f = _pre_label(spark, sf_dir)
+    value = approx_quantile(f, "total_spend", 0.5, 0.01)
+    ok = rank_error(f, "total_spend", 0.5, value) <= 0.01
+    rows = f.agg(F.count(F.lit(1)).alias("n_customers"))
+    return rows.withColumn("within_one_percent", F.lit(ok))

@@ -1,8 +1,9 @@
 """Model queries: F5–F7, M1–M5, A11, A12.
 
-Learned models (K-Means, decision tree) get rows-only checks; their SQL-
-expressible parts (scaling, indexing, split, metrics on a fixed rule or
-score) are checked against DuckDB.
+The library's learned models (K-Means, decision tree) get rows-only checks;
+their SQL-expressible parts (scaling, indexing, split, metrics on a fixed rule
+or score), K-Means at its fixed point and the best single split are checked
+against DuckDB.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ from pyspark.sql import types as T
 
 from sparkmart import adapter
 from sparkmart.functions import round_half_up
+from sparkmart.mining import exact
 from sparkmart.mining import models as M
 from sparkmart.mining.prep import indexer, split_column, standardized
 from sparkmart.operators import features as feat
@@ -31,6 +33,11 @@ def _features(spark, sf_dir):
     return feat.customer_features(c, li, p, orders=o)
 
 
+def _unlabeled(spark, sf_dir):
+    c, li, p, o = adapter.feature_inputs(spark, sf_dir)
+    return feat.customer_features_unlabeled(c, li, p, orders=o)
+
+
 # ------------------------------------------------------------ preparation
 def _z_sql() -> str:
     stats = ", ".join(
@@ -103,6 +110,20 @@ def kmeans_centers(spark, sf_dir):
     return M.cluster_centers(spark, model, KMEANS_FEATURES)
 
 
+@query(
+    "kmeans_invariants",
+    with_domain()
+    + """SELECT count(*) AS n_rows, CAST(3 AS BIGINT) AS n_clusters, CAST(0 AS BIGINT) AS rows_off,
+       CAST(0 AS BIGINT) AS centers_off FROM customers""",
+)
+def kmeans_invariants(spark, sf_dir):
+    """K-Means on every customer, carried to its fixed point: every row is at
+    its nearest centre and every centre is the mean of its rows."""
+    f = _unlabeled(spark, sf_dir)
+    out, model = exact.fixed_point_kmeans(f, KMEANS_FEATURES, 3, "customer_id")
+    return exact.kmeans_invariants(f, out, model)
+
+
 @query(
     "profile_by_label",
     with_domain(features_sql())
@@ -140,6 +161,32 @@ def tree_metrics(spark, sf_dir):
     )
 
 
+STUMP_SQL = f"""
+v AS (SELECT CAST(age AS DOUBLE) AS v, count(*) FILTER (WHERE is_high_value = 0) AS c0,
+             count(*) FILTER (WHERE is_high_value = 1) AS c1
+      FROM labeled WHERE age IS NOT NULL GROUP BY age),
+u AS (SELECT (v + lead(v) OVER (ORDER BY v)) / 2 AS threshold,
+             sum(c0) OVER w AS l0, sum(c1) OVER w AS l1, sum(c0) OVER () AS t0, sum(c1) OVER () AS t1
+      FROM v WINDOW w AS (ORDER BY v ROWS UNBOUNDED PRECEDING)),
+g AS (SELECT *, ((l0 * l0 + l1 * l1) / (l0 + l1)
+                 + ((t0 - l0) * (t0 - l0) + (t1 - l1) * (t1 - l1)) / (t0 + t1 - l0 - l1)
+                 - (t0 * t0 + t1 * t1) / (t0 + t1)) / (t0 + t1) AS gain
+      FROM u WHERE threshold IS NOT NULL)"""
+
+
+@query(
+    "tree_stump",
+    with_domain(features_sql(), STUMP_SQL)
+    + f"""SELECT threshold, CAST(l0 + l1 AS BIGINT) AS n_left, CAST(t0 + t1 - l0 - l1 AS BIGINT) AS n_right,
+       CAST(l0 AS BIGINT) AS left_0, CAST(l1 AS BIGINT) AS left_1, {r2("gain", METRIC_DIGITS)} AS gain
+FROM g ORDER BY round(gain, 12) DESC, threshold LIMIT 1""",
+)
+def tree_stump(spark, sf_dir):
+    """The best single split of the label by age."""
+    got = exact.best_split(_features(spark, sf_dir), "age", "is_high_value")
+    return got.withColumn("gain", round_half_up(F.col("gain"), METRIC_DIGITS))
+
+
 # -------------------------------------------- metrics on a fixed rule / score
 RULE_PREDS_SQL = f"""preds AS (
   SELECT customer_id, is_high_value AS y, CASE WHEN age >= {RULE_AGE} THEN 1 ELSE 0 END AS p,

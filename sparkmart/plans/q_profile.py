@@ -244,13 +244,27 @@ def csv_roundtrip_features(spark, sf_dir):
     return sources.read_csv(spark, path, schema=f.schema)
 
 
-@query("preview_features")
+@query(
+    "preview_features",
+    with_domain(features_sql()) + "SELECT * FROM labeled ORDER BY customer_id LIMIT 10",
+)
 def preview_features(spark, sf_dir):
     """The first rows of the feature table (a preview is the feature)."""
     c, li, p, o = adapter.feature_inputs(spark, sf_dir)
     return feat.customer_features(c, li, p, orders=o).orderBy("customer_id").limit(10)
 
 
+@query(
+    "schema_listing",
+    """SELECT CAST(row_number() OVER () - 1 AS INTEGER) AS position, column_name,
+       CASE column_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' WHEN 'VARCHAR' THEN 'string'
+            ELSE lower(column_type) END AS data_type
+FROM (DESCRIBE SELECT * FROM part)""",
+)
+def schema_listing(spark, sf_dir):
+    return profile.schema_rows(adapter.table(spark, sf_dir, "part")).drop("nullable")
+
+
 @query(
     "city_pruning_report",
     SPEND_WITH_CITY_SQL

@@ -16,7 +16,7 @@ from sparkmart.plans import query
 from sparkmart.plans.oracle import with_domain
 from sparkmart.session import scratch_path
 from sparkmart.sinks.files import write_csv, write_dated_csv
-from sparkmart.sources.config import SourceSpec
+from sparkmart.sources.config import SourceSpec, load_sources
 from sparkmart.sources.files import (
     latest_per_key,
     read_audit_log,
@@ -122,6 +122,17 @@ def quality_verdict(spark, sf_dir):
     return quality.verdict_frame(_planted(spark, sf_dir), PLANTED_NAME, 0.3)
 
 
+@query(
+    "quality_empty_verdict",
+    """SELECT CAST(0 AS INTEGER) AS seq, '[ERROR] customers_none: dataframe kosong.' AS message,
+       FALSE AS is_valid FROM customer HAVING count(*) FILTER (WHERE c_custkey < 0) = 0""",
+)
+def quality_empty_verdict(spark, sf_dir):
+    """A source whose query finds no row is refused (no key is negative)."""
+    found = adapter.table(spark, sf_dir, "customer").where("c_custkey < 0")
+    return quality.verdict_frame(found, "customers_none")
+
+
 # ------------------------------------------------------------ standardise
 FIXED_INGESTION_TIME = "2024-01-01T00:00:00+00:00"
 
@@ -288,3 +299,40 @@ def ingest_audit(spark, sf_dir):
         "dataset_name", "source_type", F.col("rows").alias("n_rows"), "status",
         F.coalesce(notes, "notes").alias("notes"),
     )
+
+
+@query(
+    "ingest_from_yaml",
+    with_domain()
+    + """SELECT 'customers_declared' AS dataset_name, 'csv' AS source_type, count(*) AS n_rows,
+       'SUCCESS' AS status, count(*) AS landed FROM customers
+UNION ALL SELECT 'parts_declared', 'parquet', (SELECT count(*) FROM part), 'SUCCESS', (SELECT count(*) FROM part)""",
+)
+def ingest_from_yaml(spark, sf_dir):
+    """Sources declared in a YAML file in the lake: a CSV folder and the part
+    table, run and counted where they land."""
+    lake = scratch_path(spark, "declared")
+    customers = adapter.customers(spark, sf_dir).select("customer_id", "customer_name", "city", "age")
+    write_csv(customers, f"{lake}/in/customers")
+    text = f"""files:
+  - name: customers_declared
+    source_type: csv
+    path: {lake}/in/customers
+    target: raw/csv/customers/customers.csv
+  - name: parts_declared
+    source_type: parquet
+    path: {sf_dir}/part.parquet
+    target: raw/parquet/part/part.csv
+"""
+    spark.createDataFrame([(text,)], "value string").coalesce(1).write.text(f"{lake}/sources")
+    specs = load_sources(f"{lake}/sources", spark)
+    ing.run_all(spark, specs, lake, f"{lake}/log")
+    log = read_audit_log(spark, f"{lake}/log")
+    landed = None
+    for spec in specs:
+        files = read_csv(spark, ing.raw_target(lake, spec.target, "*"))
+        one = files.agg(F.count(F.lit(1)).alias("landed")).withColumn("dataset_name", F.lit(spec.name))
+        landed = one if landed is None else landed.unionByName(one)
+    return log.join(landed, "dataset_name").select(
+        "dataset_name", "source_type", F.col("rows").alias("n_rows"), "status", "landed"
+    )

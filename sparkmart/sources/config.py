@@ -22,6 +22,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 import yaml
+from pyspark.sql import SparkSession
 
 from sparkmart.sources.jdbc import postgres_url
 
@@ -59,7 +60,12 @@ def parse_sources(cfg: dict) -> list[SourceSpec]:
     return specs
 
 
-def load_sources(path: str) -> list[SourceSpec]:
+def load_sources(path: str, spark: SparkSession | None = None) -> list[SourceSpec]:
+    """The sources that the file at ``path`` declares: a local file, or with
+    ``spark`` one (or a folder with one) in any store that Spark reads."""
+    if spark is not None:
+        rows = spark.read.text(path, wholetext=True).collect()
+        return parse_sources(yaml.safe_load("\n".join(r["value"] for r in rows)) or {})
     with open(path, encoding="utf-8") as fh:
         return parse_sources(yaml.safe_load(fh) or {})
 
