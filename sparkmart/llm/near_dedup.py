@@ -30,8 +30,10 @@ components are those of all confirmed links.
 
 Defined cases: documents without words (null, empty, blank) have no shingle
 and are linked with nothing; a null id takes part in no link, has a null
-component and is kept; rows that repeat an id are one vertex, linked by any
-of their texts; an empty table gives an empty result; extra columns pass
+component and is kept; rows that repeat an id are one vertex of
+:func:`near_duplicates`, linked by any of their texts, while
+:func:`deduplicate` judges each text of such an id by itself; an empty table
+gives an empty result; extra columns pass
 through :func:`deduplicate` unchanged.
 """
 
@@ -63,7 +65,7 @@ BITMAP = 1 << 23  # bits of the filter on ids whose texts are needed
 _U = np.uint64
 _STARTS = np.arange(BUCKETS, dtype=np.uint64) << _U(64 - P)
 
-SIGNATURE = "id long, n long, h1 long, h2 long, regs array<long>"
+SIGNATURE = "id long, t long, n long, h1 long, h2 long, regs array<long>"
 
 
 def registers(hashes: np.ndarray) -> np.ndarray:
@@ -117,7 +119,7 @@ def estimate(a: np.ndarray, b: np.ndarray, n: np.ndarray, m: np.ndarray) -> tupl
 
 
 def signatures(docs: DataFrame, k: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """:data:`SIGNATURE` rows: set size, set hash and packed registers."""
+    """:data:`SIGNATURE` rows: a hash of the text, set size, set hash and packed registers."""
     bound_batches(docs)
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -133,12 +135,14 @@ def signatures(docs: DataFrame, k: int, id_col: str = "doc_id", text_col: str =
             flat = np.concatenate(regs) if regs else np.zeros(0, np.int64)
             at = np.arange(len(regs) + 1, dtype=np.int32) * BANDS
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n, pa.int64()), pa.array(h1, pa.int64()),
+                [batch.column(0), batch.column(2), pa.array(n, pa.int64()), pa.array(h1, pa.int64()),
                  pa.array(h2, pa.int64()), pa.ListArray.from_arrays(pa.array(at), pa.array(flat))],
-                ["id", "n", "h1", "h2", "regs"],
+                ["id", "t", "n", "h1", "h2", "regs"],
             )
 
-    rows = docs.select(col(id_col).cast("long").alias("id"), col(text_col).alias("text"))
+    rows = docs.select(
+        col(id_col).cast("long").alias("id"), col(text_col).alias("text"), F.xxhash64(col(text_col)).alias("t")
+    )
     return rows.mapInArrow(sign, SIGNATURE)
 
 
@@ -252,12 +256,18 @@ def _star_pairs(shared: DataFrame) -> DataFrame:
     ).distinct()
 
 
-def _prefixes(ids: DataFrame, texts: DataFrame, k: int, threshold: int) -> DataFrame:
+def _prefixes(ids: DataFrame, texts: DataFrame, sig: DataFrame, k: int, threshold: int) -> DataFrame:
     """``(key, id, n, place)``: the shingles ``key`` at the first places of the
     sets of the documents among ``ids``, in the order of how many of them hold
     a shingle.  Two sets of the threshold have one of these in common; those
-    that one set alone holds are left out."""
-    rows = only_ids(texts, ids).join(ids, "id", "left_semi")
+    that one set alone holds are left out.
+
+    What is shuffled for a shingle is its hash, its set's number and size.
+    Shingles of one set alone come first in the order, so they are counted and
+    not ranked.  (The filter on ids may let a few more documents in; they do
+    no harm.)
+    """
+    rows = only_ids(texts, ids)
     bound_batches(rows)
 
     def shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -271,19 +281,29 @@ def _prefixes(ids: DataFrame, texts: DataFrame, k: int, threshold: int) -> DataF
             owner = np.repeat(np.arange(len(sets)), sizes)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.concatenate(sets).view(np.int64)), batch.column(0).take(pa.array(owner)),
-                 pa.array(names.view(np.int64)[owner]), pa.array(np.array(sizes, np.int64)[owner])],
-                ["key", "id", "name", "n"],
+                 pa.array(names.view(np.int64)[owner]), pa.array(np.array(sizes, np.int32)[owner])],
+                ["key", "id", "h1", "n"],
             )
 
-    # An id may have several sets, each under its own name.
-    each = rows.select("id", "text").mapInArrow(shingles, "key long, id long, name long, n long")
-    each = materialize(each.distinct(), "crowd-shingles")
-    held = each.groupBy("key").agg(F.count(F.lit(1)).alias("held"))
-    order = Window.partitionBy("id", "name", "n").orderBy("held", "key")
-    placed = each.join(held, "key").withColumn("place", F.row_number().over(order) - 1)
-    return placed.filter(f"held > 1 AND (n - place) * 100 >= n * {threshold}").select(
-        "key", "id", "n", "place"
-    )
+    # An id may have several sets, each with a number of its own; rows that
+    # repeat an id and its text repeat the same number.
+    number = F.xxhash64("id", "h1").alias("set")
+    each = rows.select("id", "text").mapInArrow(shingles, "key long, id long, h1 long, n int")
+    each = each.select("key", number, "n")
+    held = each.groupBy("key").agg(F.count(F.lit(1)).alias("held")).filter("held > 1")
+    mine = Window.partitionBy("set", "n")
+    order = mine.orderBy("held", "key")
+    # dense_rank: a repeated row's shingles share their places.
+    ranked = each.join(held, "key").select("key", "set", "n", F.dense_rank().over(order).alias("rank"))
+    ranked = ranked.withColumn("shared", F.max("rank").over(mine))
+    placed = ranked.withColumn("place", F.col("n") - F.col("shared") + F.col("rank") - 1)
+    placed = placed.filter(f"(n - place) * 100L >= n * {threshold}L").distinct()
+    sets = only_rows(sig.select("id", number), ids)
+    return placed.join(sets, "set").select("key", "id", F.col("n").cast("long").alias("n"), "place")
+
+
+def only_rows(sets: DataFrame, ids: DataFrame) -> DataFrame:
+    return sets.join(ids, "id", "left_semi").distinct()
 
 
 def _open_buckets(rows: DataFrame, comp: DataFrame) -> DataFrame:
@@ -319,7 +339,7 @@ def _cross_pairs(rows: DataFrame, threshold: int) -> DataFrame:
 
 
 def _open_pairs(
-    rows: DataFrame, comp: DataFrame, texts: DataFrame, k: int, threshold: int
+    rows: DataFrame, comp: DataFrame, texts: DataFrame, sig: DataFrame, k: int, threshold: int
 ) -> DataFrame | None:
     """Pairs across components of documents that share a bucket of
     ``rows(key, id, n)``, of sizes that allow the threshold."""
@@ -332,20 +352,16 @@ def _open_pairs(
     pairs = _cross_pairs(open_.filter(F.col("cost") <= FEW), threshold)
     if n_many:
         ids = materialize(open_.filter(F.col("cost") > FEW).select("id").distinct(), "crowd")
-        crowd = materialize(_prefixes(ids, texts, k, threshold), "prefixes")
+        crowd = materialize(_prefixes(ids, texts, sig, k, threshold), "prefixes")
         pairs = pairs.unionByName(_cross_pairs(_open_buckets(crowd, comp), threshold)).distinct()
     return pairs
 
 
-def near_duplicates(
-    docs: DataFrame, k: int = 5, threshold: int = 80, id_col: str = "doc_id", text_col: str = "text",
+def _components(
+    docs: DataFrame, k: int, threshold: int, id_col: str, text_col: str, join_ids: bool
 ) -> DataFrame:
-    """``(id, n_shingles, component, kept)`` for every row of ``docs``.
-
-    Two documents are linked if ``100 * |intersection| >= threshold *
-    |union|`` of their ``k``-word shingle sets; ``component`` is the smallest
-    id that links reach, and ``kept`` marks the row with that id.
-    """
+    """``(id, t, n, component)`` for every row; ``t`` is a hash of its text.
+    ``join_ids`` makes the rows of one id one vertex."""
     if threshold < 76:
         raise ValueError("the bands are laid out for a similarity of 0.76 or more")
     texts = docs.select(col(id_col).cast("long").alias("id"), col(text_col).alias("text"))
@@ -357,21 +373,52 @@ def near_duplicates(
     pairs = materialize(_likely(_star_pairs(shared), reps, threshold), "pairs")
     links = materialize(confirmed(pairs, texts, k, threshold), "links")
     comp = materialize(connected_components(links), "components")
-    more = _open_pairs(shared.drop("size"), comp, texts, k, threshold)
+    more = _open_pairs(shared.drop("size"), comp, texts, named, k, threshold)
+    found = None
     if more is not None:
         more = more.join(pairs, ["a", "b"], "left_anti")
         more = materialize(_likely(more, reps, threshold), "pairs")
         found = materialize(confirmed(more, texts, k, threshold), "links")
-        if not found.isEmpty():
-            comp = materialize(connected_components(links.unionByName(found)), "components")
+        found = None if found.isEmpty() else found
+    ties = None
+    if join_ids:
+        ties = materialize(_id_ties(named, reps), "ties")
+        ties = None if ties.isEmpty() else ties
+    for extra in (found, ties):
+        links = links if extra is None else links.unionByName(extra)
+    if found is not None or ties is not None:
+        comp = materialize(connected_components(links), "components")
     classes = reps.select("n", "h1", "h2", "id").join(comp, "id", "left").select(
         "n", "h1", "h2", F.coalesce("component", "id").alias("component")
     )
-    # A repeated id may have several sets: its component is the smallest.
-    whole = sig.join(classes, ["n", "h1", "h2"], "left").select(
-        "id", "n", F.when(F.col("id").isNotNull(), F.coalesce("component", "id")).alias("component")
+    return sig.join(classes, ["n", "h1", "h2"], "left").select(
+        "id", "t", "n",
+        F.when(F.col("id").isNotNull(), F.coalesce("component", "id")).alias("component"),
     )
-    return whole.select(
+
+
+def _id_ties(named: DataFrame, reps: DataFrame) -> DataFrame:
+    """Pairs ``(a, b)`` of the representatives of one id's different sets."""
+    name = F.struct("n", "h1", "h2")
+    several = named.groupBy("id").agg(F.min(name).alias("x"), F.max(name).alias("y")).filter("x <> y")
+    sets = named.select("id", "n", "h1", "h2").join(several.select("id"), "id", "left_semi").distinct()
+    other = reps.select("n", "h1", "h2", F.col("id").alias("rep"))
+    met = sets.join(other, ["n", "h1", "h2"]).select("id", "rep")
+    first = met.groupBy("id").agg(F.min("rep").alias("a"))
+    return met.join(first, "id").filter("a <> rep").select("a", F.col("rep").alias("b")).distinct()
+
+
+def near_duplicates(
+    docs: DataFrame, k: int = 5, threshold: int = 80, id_col: str = "doc_id", text_col: str = "text",
+) -> DataFrame:
+    """``(id, n_shingles, component, kept)`` for every row of ``docs``.
+
+    Two documents are linked if ``100 * |intersection| >= threshold *
+    |union|`` of their ``k``-word shingle sets; ``component`` is the smallest
+    id that links reach, and ``kept`` marks the row with that id.
+    """
+    rows = _components(docs, k, threshold, id_col, text_col, join_ids=True)
+    return rows.select(
         "id", F.col("n").alias("n_shingles"), "component",
         F.coalesce(F.col("id") == F.col("component"), F.lit(True)).alias("kept"),
     )
@@ -379,8 +426,10 @@ def near_duplicates(
 
 def deduplicate(docs: DataFrame, k: int = 5, threshold: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with one document of each group of near duplicates: that with
-    the smallest id (all its rows, should the id repeat)."""
-    name = free_name(docs, "__gone")
-    gone = near_duplicates(docs, k, threshold, id_col, text_col).filter("NOT kept")
-    gone = gone.select(F.col("id").alias(name)).distinct()
-    return docs.join(gone, col(id_col) == F.col(name), "left_anti")
+    the smallest id.  Where an id repeats with several texts, each text is
+    judged by its own group, so that none is lost with another one's."""
+    rows = _components(docs, k, threshold, id_col, text_col, join_ids=False)
+    name, text = free_name(docs, "__gone"), free_name(docs, "__text")
+    gone = rows.filter("id <> component").select(F.col("id").alias(name), F.col("t").alias(text)).distinct()
+    same = (col(id_col).cast("long") == F.col(name)) & (F.xxhash64(col(text_col)) == F.col(text))
+    return docs.join(gone, same, "left_anti")

@@ -130,3 +130,13 @@ def test_pairs_at_the_threshold_in_a_crowd(make_docs):
     assert len(x & y) * 100 == 80 * len(x | y)
     got = N.near_duplicates(make_docs(rows), k=5).collect()
     assert {r.id: r.component for r in got} == brute(rows, 5, 80)
+
+
+def test_an_id_with_several_texts(make_docs):
+    a = " ".join(f"a{i}" for i in range(40))
+    b = " ".join(f"b{i}" for i in range(40))
+    docs = make_docs([(1, b, "s"), (5, a, "s"), (5, b, "s"), (6, a, "s"), (6, a, "s")])
+    got = sorted((r["id"], r["component"], r["kept"]) for r in N.near_duplicates(docs).collect())
+    assert got == [(1, 1, True), (5, 1, False), (5, 1, False), (6, 1, False), (6, 1, False)]
+    kept = sorted((r["doc_id"], r["text"]) for r in N.deduplicate(docs).collect())
+    assert kept == [(1, b), (5, a)]  # neither text is lost
