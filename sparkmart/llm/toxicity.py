@@ -142,6 +142,18 @@ def _texts(batch: pa.RecordBatch, at: int) -> list[bytes | None]:
     return batch.column(at).cast(pa.large_binary()).to_pylist()
 
 
+def _smallest(rows: DataFrame, n: int) -> Column | None:
+    """True for the rows with the ``n`` smallest ``(h, t)`` (an exact sample by
+    hash, of any table size; repeated rows share theirs); None without rows."""
+    key = F.struct("h", "t")
+    cut = rows.select(key.alias("key")).orderBy("key").limit(n).agg(F.max("key").alias("m")).first()["m"]
+    if cut is None:
+        return None
+    # A NULL text's hash sorts first.
+    upto = F.col("t").isNull() if cut["t"] is None else F.coalesce(F.col("t") <= cut["t"], F.lit(True))
+    return (F.col("h") < cut["h"]) | ((F.col("h") == cut["h"]) & upto)
+
+
 def train(
     docs: DataFrame,
     labels: DataFrame,
@@ -172,15 +184,24 @@ def train(
         known.filter("y = 1").orderBy(F.xxhash64("id"), "id").limit(max_positive)
         .select("id", F.lit(1).alias("positive"))
     )
-    rows = docs.select(col(id_col).alias("id"), col(text_col).alias("text")).filter("id is not null")
-    share = min(1.0, max_unlabelled / max(1, rows.count()))
-    chosen = F.pmod(F.xxhash64(F.lit("unlabelled"), "id"), F.lit(1_000_000)) < F.lit(int(share * 1_000_000))
+    rows = docs.select(
+        col(id_col).alias("id"), col(text_col).alias("text"),
+        F.xxhash64(F.lit("unlabelled"), col(id_col)).alias("h"), F.xxhash64(col(text_col)).alias("t"),
+    ).filter(F.col("id").isNotNull() & ~held_out(F.col("id")))
+    rows = rows.join(F.broadcast(ids), "id", "left").withColumn("positive", F.coalesce("positive", F.lit(0)))
+    some = _smallest(rows, max_unlabelled)
+    positives = _smallest(rows.filter("positive = 1"), max_positive)
+    if some is None or positives is None:
+        return nothing
     sample = (
-        rows.filter(~held_out(F.col("id")))
-        .join(F.broadcast(ids), "id", "left")  # at most max_positive ids
-        .withColumn("positive", F.coalesce("positive", F.lit(0)))
-        .withColumn("unlabelled", chosen.cast("int"))
+        rows.withColumn("unlabelled", some.cast("int"))
+        .withColumn("positive", F.when(positives, F.col("positive")).otherwise(0))
         .filter((F.col("positive") == 1) | (F.col("unlabelled") == 1))
+        # Rows that repeat an id and its text count once.
+        .groupBy("id", "t").agg(
+            F.first("text").alias("text"), F.max("positive").alias("positive"),
+            F.max("unlabelled").alias("unlabelled"),
+        )
         .select("text", "positive", "unlabelled")
     )
 

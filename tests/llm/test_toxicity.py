@@ -80,3 +80,29 @@ def test_nnpu_separates_from_unlabelled_mixtures():
     ]).astype(float)
     w, b = X.fit_nnpu(pos, unl, 0.1)
     assert w[0] > 5 * max(abs(w[1]), abs(w[2])) and b < -1
+
+
+def test_sample_is_the_smallest_hashes_at_any_table_size(spark):
+    rows = spark.range(5000).select(
+        F.xxhash64(F.lit("unlabelled"), "id").alias("h"), F.when(F.col("id") > 0, F.xxhash64("id")).alias("t")
+    )
+    want = sorted((r.h, r.t) for r in rows.collect())[:70]
+    got = sorted((r.h, r.t) for r in rows.filter(X._smallest(rows, 70)).collect())
+    assert got == want
+    # Nothing is scaled by a row count: a huge table gives as many rows.
+    many = rows.unionByName(rows).unionByName(rows)
+    assert many.filter(X._smallest(many, 70)).count() in range(70, 73)
+    assert X._smallest(rows.limit(0), 70) is None
+    nulls = rows.limit(3).select(F.lit(1).cast("long").alias("h"), F.lit(None).cast("long").alias("t"))
+    assert nulls.filter(X._smallest(nulls, 2)).count() == 3
+
+
+def test_scorer_equals_plain_python(make_docs, corpus):
+    rows, labels = corpus
+    model = X.train(make_docs(rows), labels)
+    texts = [t.encode() for _, t, _ in rows[:40]] + [b"", None]
+    place = {int(f): i for i, f in enumerate(model.features)}
+    for text, got in zip(texts, model.scores(texts), strict=True):
+        found = {int(h) for _, hs in X.feature_blocks([text]) for h in hs}
+        z = model.bias + sum(float(model.weights[place[h]]) for h in found if h in place)
+        assert abs(got - 1 / (1 + np.exp(-z))) < 1e-9
