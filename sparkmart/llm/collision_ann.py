@@ -18,9 +18,9 @@ so that its count is about normal; ``slack`` standard deviations below the
 mean keep it with probability 0.97 at distance ``R`` and more when nearer.
 There is no cap on candidates: all vectors over the threshold are verified.
 
-Defined cases: vectors that are null, empty, all zero, of another length than
-most, or that hold null or non-finite components take no part, as query or
-candidate; null ids take no part; a query's own row (its id) is no candidate;
+Defined cases: vectors that are null, empty, all zero, or that hold null or
+non-finite components take no part, as query or candidate; vectors are compared
+with those of equal length; null ids take no part; a query's own row (its id) is no candidate;
 rows that repeat an id are candidates each; ties go to the smaller id; with
 fewer than ``k`` candidates all are returned; empty tables give no rows.
 """
@@ -116,59 +116,57 @@ def collision_knn(
         col(id_col).cast("long").alias("id"), col(vector_col).cast("array<double>").alias("v")
     ).filter(F.col("id").isNotNull() & usable(F.col("v")))
     data, asked = parts(vectors), parts(queries)
-    size = data.groupBy(F.size("v").alias("d")).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.avg(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x)).alias("square"),
-    ).orderBy(F.desc("n"), "d").first()
+    n = data.count()
     schema = "query_id long, vec_id long, score double"
-    if size is None:
+    if not n:
         return vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    d, n, scale = size.d, size.n, math.sqrt(size.square)
-    data, asked = (x.filter(F.size("v") == d) for x in (data, asked))
     blocks = -(-n // rows_per_block)
     p1 = math.erf(width / 2 / math.sqrt(2))
     least = max(1, math.floor(lines * p1 - slack * math.sqrt(lines * p1 * (1 - p1))))
-    directions = np.random.default_rng(seed).standard_normal((d, lines))
-    start = scale / 64
 
     # Block rows come first in a partition, then the queries stream by.
     rows = data.select(
         F.pmod(F.xxhash64("id", "v"), F.lit(blocks)).cast("int").alias("block"),
-        F.lit(0).alias("kind"), "id", "v",
+        F.size("v").alias("d"), F.lit(0).alias("kind"), "id", "v",
     ).unionByName(
         asked.select(
             F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"),
-            F.lit(1).alias("kind"), "id", "v",
+            F.size("v").alias("d"), F.lit(1).alias("kind"), "id", "v",
         )
     )
-    rows = rows.repartition(blocks, "block").sortWithinPartitions("block", "kind", "id")
+    rows = rows.repartition(blocks, "block").sortWithinPartitions("block", "d", "kind", "id")
     bound_batches(rows)
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        current, ids, vecs, block = None, [], [], None
+        current, ids, vecs, block = None, [], [], None  # of one block and vector length
         for batch in batches:
             if not batch.num_rows:
                 continue
-            which, kind, key = (np.asarray(batch.column(i)) for i in (0, 1, 2))
-            flat = np.asarray(batch.column(3).flatten()).reshape(-1, d)
+            which, size, kind, key = (np.asarray(batch.column(i)) for i in (0, 1, 2, 3))
+            values, places = np.asarray(batch.column(4).values), np.asarray(batch.column(4).offsets)
             out: list[list[np.ndarray]] = [[], [], []]
-            cut = np.flatnonzero(np.append(True, (which[1:] != which[:-1]) | (kind[1:] != kind[:-1])))
+            differ = (which[1:] != which[:-1]) | (size[1:] != size[:-1]) | (kind[1:] != kind[:-1])
+            cut = np.flatnonzero(np.append(True, differ))
             for a, b in zip(cut, np.append(cut[1:], len(which)), strict=True):
-                if which[a] != current:
-                    current, ids, vecs, block = which[a], [], [], None
+                d = int(size[a])
+                if (which[a], d) != current:
+                    current, ids, vecs, block = (which[a], d), [], [], None
+                flat = values[places[a] : places[b]].reshape(-1, d)
                 if kind[a] == 0:
                     ids.append(key[a:b])
-                    vecs.append(flat[a:b])
+                    vecs.append(flat)
                     continue
                 if block is None:
                     if not ids:
                         continue
+                    directions = np.random.default_rng(seed).standard_normal((d, lines))
+                    start = math.sqrt((np.concatenate(vecs) ** 2).sum(axis=1).mean()) / 64
                     block = Block(np.concatenate(ids), np.concatenate(vecs), directions)
                     ids, vecs = [0], []
-                at = flat[a:b] @ directions
+                at = flat @ directions
                 for i in range(b - a):
                     got, dist = block.nearest(
-                        int(key[a + i]), flat[a + i], at[i], k, start, width, least
+                        int(key[a + i]), flat[i], at[i], k, start, width, least
                     )
                     for x, y in zip(out, (np.full(len(got), key[a + i]), got, dist), strict=True):
                         x.append(y)

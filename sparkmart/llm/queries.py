@@ -124,8 +124,9 @@ f AS (
                  THEN min(page_id) OVER (PARTITION BY payload_digest) ELSE page_id END AS first
   FROM p)
 SELECT page_id, payload_bytes, payload_digest,
-       CASE WHEN first <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
-       CASE WHEN first <> page_id THEN first END AS refers_to
+       CASE WHEN first IS NOT NULL AND first IS DISTINCT FROM page_id THEN 'revisit' ELSE 'response'
+       END AS record_type,
+       CASE WHEN first IS DISTINCT FROM page_id THEN first END AS refers_to
 FROM f
 """
 
@@ -136,7 +137,7 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     from sparkmart.llm.warc import archive_pages, page_of
 
-    records = archive_pages(table(spark, sf_dir, "pages"))
+    records = archive_pages(table(spark, sf_dir, "pages"), with_payload=False)
     return records.select(
         page_of(F.col("record_id")).alias("page_id"),
         "payload_bytes",

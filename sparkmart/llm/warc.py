@@ -14,8 +14,9 @@ again leaves an unnamed file behind and no duplicate.  Folders are on the
 shared storage (``file:``, or any scheme that pyarrow's file systems know).
 
 Defined cases: a null page is an empty payload; a null url has no target
-header; line breaks in a url are percent-encoded; null page ids are written
-as ``none`` and read back as null; empty tables give empty archives or none.
+header; line breaks in a url are percent-encoded, and it may be of any length;
+null page ids are written as ``none`` and read back as null, and such a page
+revisits the smallest id with its payload, if any page with an id has it; empty tables give empty archives or none.
 A truncated or malformed archive is an error that names the file.
 """
 
@@ -38,7 +39,6 @@ from sparkmart.llm.common import bound_batches, col, materialize
 from sparkmart.session import scratch_path
 
 CHUNK = 1 << 20
-HEAD_LIMIT = 1 << 20
 BITMAP = 1 << 23  # bits of the filter on repeated payloads
 REVISIT = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
@@ -106,7 +106,7 @@ def mark_revisits(
     names = ["id", "url", "payload", "digest", "first"]
     return alone.select(names).unionByName(others.select(names)).select(
         "id", "url", "payload", "digest",
-        F.when(F.col("first") != F.col("id"), F.col("first")).alias("refers_to"),
+        F.when(~F.col("first").eqNullSafe(F.col("id")), F.col("first")).alias("refers_to"),
     )
 
 
@@ -221,13 +221,13 @@ class Stream:
 
     def head(self) -> bytes | None:
         """The next record's head with its blank line; None at the end."""
+        seen = 0
         while True:
-            cut = self.buffer.find(b"\r\n\r\n")
+            cut = self.buffer.find(b"\r\n\r\n", seen)
             if cut >= 0:
                 head, self.buffer = self.buffer[: cut + 4], self.buffer[cut + 4 :]
                 return head
-            if len(self.buffer) > HEAD_LIMIT:
-                raise ValueError(f"{self.name}: no record head within {HEAD_LIMIT} bytes")
+            seen = max(0, len(self.buffer) - 3)
             if not self.more():
                 if self.buffer.strip():
                     raise ValueError(f"{self.name}: the last record is cut off")
@@ -378,10 +378,10 @@ def page_of(record_id: Column) -> Column:
     return F.when(digits != "", digits).cast("long")
 
 
-def archive_pages(pages: DataFrame, **columns) -> DataFrame:
+def archive_pages(pages: DataFrame, with_payload: bool = True, **columns) -> DataFrame:
     """Round trip of a table of pages: monolithic archives, normalised and
     indexed, read back by offset.  Returns :data:`RECORD` rows."""
     spark = pages.sparkSession
     written = write_archives(mark_revisits(pages, **columns), scratch_path(spark, "warc-in"))
     index = normalise(written, scratch_path(spark, "warc-out"))
-    return read_records(index)
+    return read_records(index, with_payload)

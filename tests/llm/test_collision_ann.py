@@ -80,3 +80,15 @@ def test_many_equal_vectors_tie_by_id(spark):
     df = frame(spark, rows)
     got = collision_knn(df, df.filter("vec_id = 100"), k=10, rows_per_block=128).orderBy("rank").collect()
     assert [(r.vec_id, r.score) for r in got] == [(i, 0.0) for i in range(10)]
+
+
+def test_lengths_are_searched_apart(spark):
+    from sparkmart.llm.collision_ann import collision_knn
+
+    rows = [(0, [1.0, 0.0, 0.0]), (1, [1.0, 0.1, 0.0]), (2, [0.0, 1.0, 0.0]),
+            (3, [1.0, 0.0]), (4, [0.5, 0.5]), (5, [0.0, 1.0]), (6, [7.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = collision_knn(df, df, k=2)
+    near = sorted((r["query_id"], r["rank"], r["vec_id"]) for r in got.collect())
+    assert near == [(0, 1, 1), (0, 2, 2), (1, 1, 0), (1, 2, 2), (2, 1, 1), (2, 2, 0),
+                    (3, 1, 4), (3, 2, 5), (4, 1, 3), (4, 2, 5), (5, 1, 4), (5, 2, 3)]

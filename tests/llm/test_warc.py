@@ -94,3 +94,19 @@ def test_damaged_archives_are_named(spark, tmp_path, damage):
 
 def test_empty(spark):
     assert W.archive_pages(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_null_id_that_repeats_a_payload_and_a_long_url(spark):
+    from sparkmart.llm.warc import archive_pages, page_of
+
+    body = "<p>" + "x" * 200
+    rows = [(1, "http://a", body), (None, "http://b", body), (None, "http://c", "y" * 300),
+            (2, "http://d/" + "e" * (2 << 20), "z" * 150)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = archive_pages(pages, with_payload=False)
+    found = sorted(
+        (r["target_uri"][:8], r["record_type"], r["to"], r["payload_bytes"], r["payload"])
+        for r in got.withColumn("to", page_of(got["refers_to"])).collect()
+    )
+    assert found == [("http://a", "response", None, 203, None), ("http://b", "revisit", 1, 203, None),
+                     ("http://c", "response", None, 300, None), ("http://d", "response", None, 150, None)]
