@@ -44,7 +44,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparkmart.llm.common import (
@@ -61,6 +61,7 @@ P, R, ROWS = 7, 10, 4  # 2**P buckets, R mantissa bits, registers a band
 BUCKETS, BANDS = 1 << P, (1 << P) // ROWS
 SIGMAS = 6.0
 FEW = 16  # pairs that a bucket may give before the prefix join takes over
+BATCH = 4 << 20  # bytes sent to a Python task at once
 BITMAP = 1 << 23  # bits of the filter on ids whose texts are needed
 _U = np.uint64
 _STARTS = np.arange(BUCKETS, dtype=np.uint64) << _U(64 - P)
@@ -120,7 +121,7 @@ def estimate(a: np.ndarray, b: np.ndarray, n: np.ndarray, m: np.ndarray) -> tupl
 
 def signatures(docs: DataFrame, k: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """:data:`SIGNATURE` rows: a hash of the text, set size, set hash and packed registers."""
-    bound_batches(docs)
+    bound_batches(docs, BATCH)
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -173,7 +174,7 @@ def _likely(pairs: DataFrame, reps: DataFrame, threshold: int) -> DataFrame:
     both = pairs.join(side("a"), "a").join(side("b"), "b")
     t = threshold
     both = both.filter(f"n_a * 100 >= n_b * {t} AND n_b * 100 >= n_a * {t}")
-    bound_batches(both)
+    bound_batches(both, BATCH)
 
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -194,31 +195,38 @@ def _likely(pairs: DataFrame, reps: DataFrame, threshold: int) -> DataFrame:
     )
 
 
-def only_ids(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """The rows of ``docs(id, text)`` whose id may be among ``ids(id)``: a
-    filter by a bitmap of ``BITMAP`` bits, whatever the number of ids, so that
-    a shuffle carries few texts that are not needed."""
-    place = F.explode(F.array(*[F.pmod(F.xxhash64(F.lit(i), "id"), F.lit(BITMAP)) for i in range(2)]))
+def _places() -> list[Column]:
+    return [F.pmod(F.xxhash64(F.lit(i), "id"), F.lit(BITMAP)).alias(f"p{i}") for i in range(2)]
+
+
+def _bitmap(ids: DataFrame) -> bytes:
+    """A bitmap of ``BITMAP`` bits over ``ids(id)``, whatever their number."""
     words = (
-        ids.select(place.alias("p"))
+        ids.select(F.explode(F.array(*_places())).alias("p"))
         .groupBy(F.shiftright("p", 6).alias("w"))
         .agg(F.bit_or(F.expr("shiftleft(1L, int(p & 63))")).alias("bits"))
         .collect()  # BITMAP / 64 rows at most
     )
     bitmap = np.zeros(BITMAP // 64, np.int64)
     bitmap[[r.w for r in words]] = [r.bits for r in words]
-    data = bitmap.tobytes()
-    bound_batches(docs)
+    return bitmap.tobytes()
+
+
+def _kept(batches: Iterator[pa.RecordBatch], bitmap: bytes) -> Iterator[pa.RecordBatch]:
+    """The rows ``(id, text)`` of ``(id, text, p0, p1)`` whose places are set."""
+    flags = np.unpackbits(np.frombuffer(bitmap, np.uint8), bitorder="little").astype(bool)
+    for batch in batches:
+        at = [np.asarray(batch.column(i)) for i in (2, 3)]
+        yield batch.select([0, 1]).filter(pa.array(flags[at[0]] & flags[at[1]]))
 
-    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        flags = np.unpackbits(np.frombuffer(data, np.uint8), bitorder="little").astype(bool)
-        for batch in batches:
-            at = [np.asarray(batch.column(i)) for i in (2, 3)]
-            yield batch.select([0, 1]).filter(pa.array(flags[at[0]] & flags[at[1]]))
 
-    places = [F.pmod(F.xxhash64(F.lit(i), "id"), F.lit(BITMAP)).alias(f"p{i}") for i in range(2)]
-    rows = docs.filter("id IS NOT NULL").select("id", "text", *places)
-    return rows.mapInArrow(keep, "id long, text string")
+def only_ids(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows of ``docs(id, text)`` whose id may be among ``ids(id)``, by a
+    bitmap, so that a shuffle carries few texts that are not needed."""
+    data = _bitmap(ids)
+    bound_batches(docs, BATCH)
+    rows = docs.filter("id IS NOT NULL").select("id", "text", *_places())
+    return rows.mapInArrow(lambda batches: _kept(batches, data), "id long, text string")
 
 
 def confirmed(pairs: DataFrame, docs: DataFrame, k: int, threshold: int) -> DataFrame:
@@ -229,7 +237,7 @@ def confirmed(pairs: DataFrame, docs: DataFrame, k: int, threshold: int) -> Data
     left = docs.select(F.col("id").alias("a"), F.col("text").alias("t_a"))
     right = docs.select(F.col("id").alias("b"), F.col("text").alias("t_b"))
     both = pairs.join(left, "a").join(right, "b").select("a", "b", "t_a", "t_b")
-    bound_batches(both)
+    bound_batches(both, BATCH)
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -267,28 +275,39 @@ def _prefixes(ids: DataFrame, texts: DataFrame, sig: DataFrame, k: int, threshol
     not ranked.  (The filter on ids may let a few more documents in; they do
     no harm.)
     """
-    rows = only_ids(texts, ids)
-    bound_batches(rows)
+    data = _bitmap(ids)
+    bound_batches(texts, BATCH)
 
     def shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets = list(shingle_sets(batch.column(1).cast(pa.large_binary()).to_pylist(), k))
-            if not sets:
-                continue
-            sizes = [len(x) for x in sets]
-            with np.errstate(over="ignore"):
-                names = np.array([splitmix(x).sum(dtype=np.uint64) for x in sets], np.uint64)
-            owner = np.repeat(np.arange(len(sets)), sizes)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(sets).view(np.int64)), batch.column(0).take(pa.array(owner)),
-                 pa.array(names.view(np.int64)[owner]), pa.array(np.array(sizes, np.int32)[owner])],
-                ["key", "id", "h1", "n"],
-            )
+        for batch in _kept(batches, data):
+            ids_ = np.asarray(batch.column(0))
+            sets = shingle_sets(batch.column(1).cast(pa.large_binary()).to_pylist(), k)
+            some, n = [], 0  # some 64 thousand shingles at once, one set at least
+            for i, x in zip(ids_.tolist(), sets, strict=True):
+                some.append((i, x))
+                n += len(x)
+                if n >= 1 << 16:
+                    yield rows_of(some)
+                    some, n = [], 0
+            if n:
+                yield rows_of(some)
+
+    def rows_of(some: list[tuple[int, np.ndarray]]) -> pa.RecordBatch:
+        sizes = np.array([len(x) for _, x in some], np.int32)
+        with np.errstate(over="ignore"):
+            names = np.array([splitmix(x).sum(dtype=np.uint64) for _, x in some], np.uint64)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(np.concatenate([x for _, x in some]).view(np.int64)),
+             pa.array(np.repeat(np.array([i for i, _ in some], np.int64), sizes)),
+             pa.array(np.repeat(names.view(np.int64), sizes)), pa.array(np.repeat(sizes, sizes))],
+            ["key", "id", "h1", "n"],
+        )
 
     # An id may have several sets, each with a number of its own; rows that
     # repeat an id and its text repeat the same number.
     number = F.xxhash64("id", "h1").alias("set")
-    each = rows.select("id", "text").mapInArrow(shingles, "key long, id long, h1 long, n int")
+    rows = texts.filter("id IS NOT NULL").select("id", "text", *_places())
+    each = rows.mapInArrow(shingles, "key long, id long, h1 long, n int")
     each = each.select("key", number, "n")
     held = each.groupBy("key").agg(F.count(F.lit(1)).alias("held")).filter("held > 1")
     mine = Window.partitionBy("set", "n")
