@@ -26,7 +26,8 @@ from sparkmart.sinks.audit import (
     AuditRow,
     append_audit,
 )
-from sparkmart.sinks.files import dated_path, write_csv
+from sparkmart.sinks.files import write_dated_csv
+from sparkmart.sinks.manifest import dated_path
 from sparkmart.sources.config import SourceSpec
 from sparkmart.sources.files import PANDAS_NA_TOKENS, read_csv
 from sparkmart.sources.jdbc import read_jdbc
@@ -50,8 +51,13 @@ def default_extract(spark: SparkSession, spec: SourceSpec, password: str | None
 
 def raw_target(raw_base: str, target: str, run_date: str) -> str:
     """``raw/x/y/file.csv`` → ``<raw_base>/raw/x/y/<run_date>/file.csv``."""
+    folder, filename = raw_folder(raw_base, target)
+    return dated_path(folder, run_date, filename)
+
+
+def raw_folder(raw_base: str, target: str) -> tuple[str, str]:
     folder, filename = target.rsplit("/", 1)
-    return dated_path(f"{raw_base.rstrip('/')}/{folder}", run_date, filename)
+    return f"{raw_base.rstrip('/')}/{folder}", filename
 
 
 def run_source(
@@ -74,7 +80,8 @@ def run_source(
             return AuditRow(stamp, spec.name, spec.source_type, 0, STATUS_REJECTED,
                             " | ".join(report.messages))
         out = standardize_columns(df, spec.source_type, ingestion_time=stamp)
-        write_csv(out, raw_target(raw_base, spec.target, clock.date().isoformat()))
+        folder, filename = raw_folder(raw_base, spec.target)
+        write_dated_csv(out, folder, filename, clock.date().isoformat())
         notes = " | ".join(report.messages) if report.messages else "OK"
         return AuditRow(stamp, spec.name, spec.source_type, report.n_rows, STATUS_SUCCESS, notes)
     except Exception as e:  # noqa: BLE001 - every failure becomes an audit row

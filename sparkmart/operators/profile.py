@@ -31,21 +31,34 @@ def describe(df: DataFrame, cols: list[str], digits: int | None = None) -> DataF
     doubles and computes all columns in one aggregate pass.  ``stddev`` is the
     sample standard deviation (NULL for fewer than two values).
     ``digits`` rounds mean and stddev half-up for cross-engine comparison.
+
+    With a text column among ``cols`` there are two more, ``min_text`` and
+    ``max_text``: of a text column ``count`` is that of its values, mean and
+    stddev are those of the values that are numbers, ``min`` and ``max`` are
+    NULL and the extremes are texts, by code point.
     """
     from sparkmart.functions import round_half_up
 
+    text = {f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)}
+    any_text = any(c in text for c in cols)
+
     def stat(c: str):
-        x = F.col(c).cast(T.DoubleType())
+        raw, is_text = F.col("`" + c.replace("`", "``") + "`"), c in text
+        x = raw.try_cast(T.DoubleType()) if is_text else raw.cast(T.DoubleType())
         mean, sd = F.avg(x), F.stddev_samp(x)
         if digits is not None:
             mean, sd = round_half_up(mean, digits), round_half_up(sd, digits)
         return F.struct(
             F.lit(c).alias("column_name"),
-            F.count(x).alias("count"),
+            F.count(raw if is_text else x).alias("count"),
             mean.alias("mean"),
             sd.alias("stddev"),
-            F.min(x).alias("min"),
-            F.max(x).alias("max"),
+            (F.lit(None).cast("double") if is_text else F.min(x)).alias("min"),
+            (F.lit(None).cast("double") if is_text else F.max(x)).alias("max"),
+            *[
+                (fn(raw) if is_text else F.lit(None).cast("string")).alias(name)
+                for fn, name in ((F.min, "min_text"), (F.max, "max_text")) if any_text
+            ],
         )
 
     return df.agg(F.array(*[stat(c) for c in cols]).alias("s")).select(F.inline("s"))

@@ -93,6 +93,23 @@ def describe_price_stock(spark, sf_dir):
     return _describe(adapter.products(spark, sf_dir), ["price", "stock"])
 
 
+def _describe_text_sql(src: str, number: str, texts: list[str]) -> str:
+    parts = [f"SELECT *, NULL::VARCHAR AS min_text, NULL::VARCHAR AS max_text FROM ({_describe_sql(src, [number])})"]
+    for c in texts:
+        x = f"TRY_CAST({c} AS DOUBLE)"
+        parts.append(
+            f"SELECT '{c}', count({c}), {r2(f'avg({x})', DESCRIBE_DIGITS)},"
+            f" {r2(f'stddev_samp({x})', DESCRIBE_DIGITS)}, NULL::DOUBLE, NULL::DOUBLE, min({c}), max({c}) FROM {src}"
+        )
+    return " UNION ALL ".join(parts)
+
+
+@query("describe_text", with_domain() + _describe_text_sql("products", "price", ["product_name", "category"]))
+def describe_text(spark, sf_dir):
+    """A9 over numbers and texts in one pass."""
+    return _describe(adapter.products(spark, sf_dir), ["price", "product_name", "category"])
+
+
 FEATURE_DESCRIBE = ["age", "total_orders", "total_spend"]
 
 

@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sparkmart.sinks.manifest import dated_path, land
+
 # Rows per output file; a hot partition value lands as several files instead
 # of one huge one (nothing is dropped).
 MAX_RECORDS_PER_FILE = 5_000_000
@@ -51,14 +53,10 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> str:
     return path
 
 
-def dated_path(base: str, run_date: str, name: str) -> str:
-    """``base/<YYYY-MM-DD>/<name>`` — the raw-zone layout."""
-    return f"{base.rstrip('/')}/{run_date}/{name}"
-
-
-def write_dated_csv(df: DataFrame, base: str, name: str, run_date: str) -> str:
-    """K1: land a snapshot under today's folder; a same-day rerun overwrites it."""
-    return write_csv(df, dated_path(base, run_date, name))
+def write_dated_csv(df: DataFrame, base: str, name: str, run_date: str, part: str = "") -> str:
+    """K1: land a snapshot (or a ``part`` of it) under today's folder and commit
+    it to the manifest; a same-day rerun replaces it."""
+    return land(write_csv, df, base, name, run_date, part)
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> str:
@@ -71,11 +69,16 @@ def write_partitioned_parquet(
 ) -> str:
     """K3: Parquet in ``key=value`` folders.
 
-    No repartition on the key: a hot value (say a third of all rows) would
-    then be written by one task.  Each task writes its own files per value
-    (Spark sorts by the partition columns inside the task, so one file is
-    open at a time) and ``maxRecordsPerFile`` bounds file size.
+    Rows are dealt by the key and then rebalanced by size at run time: small
+    values share a task, and a hot value (say a third of all rows) is split
+    into several, each of ``spark.sql.adaptive.advisoryPartitionSizeInBytes``
+    (with the small values that share its shuffle partition).  A value's files thus grow with its size and not with the number of tasks.
+    Where the session has adaptive execution off nothing would split a hot
+    value, so each task writes its own file per value.  ``maxRecordsPerFile``
+    bounds file size in both cases.
     """
+    if str(df.sparkSession.conf.get("spark.sql.adaptive.enabled", "true")).lower() == "true":
+        df = df.hint("rebalance", *by)
     (
         df.write.mode(mode)
         .partitionBy(*by)

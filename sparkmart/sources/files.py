@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sparkmart.sinks import manifest
 from sparkmart.sources.csv_catalogue import CsvFile, csv_files, with_line_breaks
 
 # The tokens a pandas CSV reader treats as missing by default.
@@ -188,18 +189,35 @@ def read_snapshots(
     dates: list[str] | None = None,
 ) -> DataFrame:
     """Every dated snapshot ``base/<YYYY-MM-DD>/<filename>``, with the
-    folder date as ``snapshot_date`` (from the file path metadata column)."""
-    if dates is None:
+    folder date as ``snapshot_date`` (from the file path metadata column).
+    The manifest says which files count; folders that are older than it, or
+    have none, are read as they lie."""
+    files = manifest.snapshot_files(spark, base, filename, dates)
+    if files is None:
+        older = dates
+    else:
+        first = manifest.committed_dates(spark, base, filename)[0]
+        older = _folder_dates(spark, base, filename) if dates is None else dates
+        older = [d for d in older if d < first]
+    if older is None:
         paths: str | list[str] = f"{base}/*/{filename}"
     else:
-        paths = [f"{base}/{d}/{filename}" for d in dates]
+        paths = [f"{base}/{d}/{filename}" for d in older] + (files or [])
+        if not paths:
+            raise FileNotFoundError(f"no such snapshots under {base}")
     df = read_csv(spark, paths, schema=schema, path_column="__path")
     date = F.to_date(F.regexp_extract("__path", SNAPSHOT_DATE_PATTERN, 1))
     return df.withColumn("snapshot_date", date).drop("__path")
 
 
 def snapshot_dates(spark: SparkSession, base: str, filename: str) -> list[str]:
-    """Dates of the snapshot folders under ``base`` holding ``filename``.
+    """Dates of the snapshots of ``filename`` under ``base``."""
+    dates = manifest.committed_dates(spark, base, filename)
+    return [d for d in _folder_dates(spark, base, filename) if not dates or d < dates[0]] + dates
+
+
+def _folder_dates(spark: SparkSession, base: str, filename: str) -> list[str]:
+    """Dates of the folders under ``base`` holding ``filename``.
 
     A ``binaryFile`` read selecting only the path lists files without opening
     them; the result is one row per date folder.
@@ -209,7 +227,7 @@ def snapshot_dates(spark: SparkSession, base: str, filename: str) -> list[str]:
         dates = files.select(F.regexp_extract("path", SNAPSHOT_DATE_PATTERN, 1).alias("d"))
         return sorted(r["d"] for r in dates.where(F.col("d") != "").distinct().collect())
     except Exception as e:  # noqa: BLE001 - no matching folder at all
-        if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
+        if manifest.missing_path(e):
             return []
         raise
 
@@ -217,9 +235,10 @@ def snapshot_dates(spark: SparkSession, base: str, filename: str) -> list[str]:
 def read_latest_snapshot(
     spark: SparkSession, base: str, filename: str, schema: T.StructType | None = None
 ) -> DataFrame:
-    """Only the newest date folder.  The folder is chosen from a listing,
-    so older snapshots are never opened (file-level pruning)."""
-    dates = snapshot_dates(spark, base, filename)
+    """Only the newest snapshot.  Its date and files come from the manifest,
+    so older folders are not even listed; without a manifest the newest folder
+    of a listing is taken."""
+    dates = manifest.committed_dates(spark, base, filename) or _folder_dates(spark, base, filename)
     if not dates:
         raise FileNotFoundError(f"no dated snapshot folders under {base}")
     return read_snapshots(spark, base, filename, schema=schema, dates=[dates[-1]])

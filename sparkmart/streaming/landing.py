@@ -25,11 +25,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from sparkmart.ingest import raw_target
+from sparkmart.ingest import raw_folder
 from sparkmart.operators.quality import DEFAULT_NULL_THRESHOLD, validate
 from sparkmart.operators.standardize import standardize_columns
 from sparkmart.sinks.audit import STATUS_FAILED, STATUS_REJECTED, STATUS_SUCCESS, AuditRow, append_audit
-from sparkmart.sinks.files import write_csv
+from sparkmart.sinks.files import write_dated_csv
 from sparkmart.sources.files import PANDAS_NA_TOKENS, read_csv
 
 FILES = "path string, modificationTime timestamp, length long, content binary"
@@ -84,8 +84,9 @@ def ingest_landing_stream(
                 row = AuditRow(stamp, name, source_type, 0, STATUS_REJECTED, " | ".join(report.messages))
             else:
                 out = standardize_columns(data, source_type, ingestion_time=stamp)
-                dated = raw_target(raw_base, target, clock.date().isoformat())
-                write_csv(out, f"{dated}/batch_id={batch_id}")
+                folder, filename = raw_folder(raw_base, target)
+                day = clock.date().isoformat()
+                write_dated_csv(out, folder, filename, day, part=f"batch_id={batch_id}")
                 notes = " | ".join(report.messages) if report.messages else "OK"
                 row = AuditRow(stamp, name, source_type, report.n_rows, STATUS_SUCCESS, notes)
             append_audit(spark, [row], audit, mode="overwrite")

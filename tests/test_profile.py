@@ -54,3 +54,15 @@ def test_histogram_skips_nan(spark):
     df = spark.createDataFrame([(0.0,), (10.0,), (float("nan"),), (5.0,)], "x double")
     rows = histogram(df, "x", bins=2).collect()
     assert [r["count"] for r in rows] == [1, 2]
+
+
+def test_describe_of_texts(spark):
+    from sparkmart.operators.profile import describe
+
+    df = spark.createDataFrame([("10", 1), ("x", 2), (None, 3), ("é", None)], "`a.b` string, n int")
+    text, number = describe(df, ["a.b", "n"]).collect()
+    assert tuple(text) == ("a.b", 3, 10.0, None, None, None, "10", "é")
+    assert tuple(number) == ("n", 3, 2.0, 1.0, 1.0, 3.0, None, None)
+    assert "min_text" not in describe(df, ["n"]).columns
+    none = describe(df.limit(0), ["a.b"]).first()
+    assert none["count"] == 0 and none["min_text"] is None

@@ -193,3 +193,65 @@ def test_object_store_conf():
     assert conf["spark.hadoop.fs.s3a.path.style.access"] == "true"
     assert conf["spark.hadoop.fs.s3a.access.key"] == "key"
     assert object_store_conf("https://s", "k", "s", secure=True)["spark.hadoop.fs.s3a.endpoint"] == "https://s"
+
+
+def test_a_landing_counts_once_it_is_committed(spark, tmp_path):
+    import shutil
+
+    from sparkmart.sinks import manifest
+    from sparkmart.sources.files import snapshot_dates
+
+    base = str(tmp_path / "raw")
+    frame = lambda v: spark.createDataFrame([(1, v), (2, v)], "id int, v string")
+    values = lambda df: sorted((str(r["snapshot_date"]), r["id"], r["v"]) for r in df.collect())
+    schema = frame("a").schema
+    write_csv(frame("old"), f"{base}/2024-02-28/c.csv")  # landed by another tool
+    write_dated_csv(frame("a"), base, "c.csv", "2024-03-01")
+    write_dated_csv(frame("b"), base, "c.csv", "2024-03-02")
+
+    def dies(df, path, mode):
+        write_csv(df, path, mode)
+        raise RuntimeError("lost")
+
+    for day in ("2024-03-02", "2024-03-03"):  # a rerun and a new day that die before their commit
+        with pytest.raises(RuntimeError):
+            manifest.land(dies, frame("half"), base, "c.csv", day)
+    want = [("2024-02-28", 1, "old"), ("2024-02-28", 2, "old"), ("2024-03-01", 1, "a"), ("2024-03-01", 2, "a"),
+            ("2024-03-02", 1, "b"), ("2024-03-02", 2, "b")]
+    assert values(read_snapshots(spark, base, "c.csv", schema=schema)) == want
+    assert values(read_latest_snapshot(spark, base, "c.csv", schema=schema)) == want[4:]
+    assert snapshot_dates(spark, base, "c.csv") == ["2024-02-28", "2024-03-01", "2024-03-02"]
+    assert values(read_snapshots(spark, base, "c.csv", schema=schema, dates=["2024-02-28", "2024-03-01"])) == want[:4]
+    # The next landing of the day replaces both the earlier one and what the dead one left.
+    write_dated_csv(frame("c"), base, "c.csv", "2024-03-02")
+    assert sorted(r["v"] for r in read_csv(spark, f"{base}/2024-03-02/c.csv", schema=schema).collect()) == ["c", "c"]
+    # The newest snapshot does not need the older folders.
+    shutil.move(f"{base}/2024-03-01", str(tmp_path / "away"))
+    assert [v for _, _, v in values(read_latest_snapshot(spark, base, "c.csv", schema=schema))] == ["c", "c"]
+
+
+def test_parts_of_a_date_add_up(spark, tmp_path):
+    base = str(tmp_path)
+    one = lambda i: spark.createDataFrame([(i,)], "id int")
+    for i, part in ((1, "batch_id=0"), (2, "batch_id=1"), (3, "batch_id=1")):  # the last is a retry
+        write_dated_csv(one(i), base, "c.csv", "2024-03-01", part)
+    rows = read_latest_snapshot(spark, base, "c.csv", schema=one(1).schema).collect()
+    assert sorted(r["id"] for r in rows) == [1, 3]
+
+
+def test_partitioned_write_does_not_multiply_files(spark, tmp_path):
+    """16 tasks with rows of all 26 cities: far fewer than a file per task and
+    city, and several for a city that is larger than a partition should be."""
+    rows = spark.range(0, 40_000, 1, 16).selectExpr(
+        "id", "IF(id % 3 = 0, 'hot', concat('c', id % 25)) AS city", "sha2(string(id), 256) AS text"
+    )
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "200k")
+    try:
+        path = write_partitioned_parquet(rows, str(tmp_path / "p"), ["city"])
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    files = {c: len([f for f in os.listdir(f"{path}/{c}") if f.endswith(".parquet")])
+             for c in os.listdir(path) if c.startswith("city=")}
+    assert len(files) == 26 and files["city=hot"] > 1 and sum(files.values()) <= 16 * 26 / 4
+    back = read_partitioned_parquet(spark, path)
+    assert back.exceptAll(rows.select(back.columns)).isEmpty() and back.count() == 40_000
