@@ -146,3 +146,19 @@ def test_confusion_matrix_counts_every_class(spark):
     df = spark.createDataFrame(rows, "y double, prediction double")
     got = {r["y"]: (r["pred_0"], r["pred_1"], r["pred_2"]) for r in M.confusion_matrix(df, "y").collect()}
     assert got == {0.0: (1, 0, 0), 1.0: (0, 1, 1), 2.0: (1, 0, 1)}
+
+
+def test_equal_baskets_are_mined_in_one_task(spark, monkeypatch):
+    rows = [(i, [f"i{j}" for j in range(8) if i % 60 >> j & 1]) for i in range(600)]
+    baskets = spark.createDataFrame(rows, "basket long, items array<string>").repartition(7)
+    mined, fit = [], R.FPGrowth.fit
+    monkeypatch.setattr(R.FPGrowth, "fit", lambda self, df: (mined.append(df), fit(self, df))[1])
+    freq, rules = R.fp_growth(baskets, "items", 0.01, 0.1)
+    kinds = mined[0].withColumn("task", F.spark_partition_id()).groupBy("items").agg(
+        F.count_distinct("task").alias("tasks"), F.count(F.lit(1)).alias("n")
+    )
+    assert {(r.tasks, r.n) for r in kinds.collect()} == {(1, 10)}
+    found = freq.collect()
+    assert len(found) > 30 and rules.count() > 0
+    for r in found:
+        assert r.freq == sum(set(r["items"]) <= set(items) for _, items in rows)
